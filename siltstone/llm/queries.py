@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import mixing, sharding, simhash
+from siltstone.llm import decontaminate, merkle, mixing, secrets, sharding, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op3_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.with_next(_read(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_read(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "curve"
@@ -28,10 +32,21 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex16(found["fp"]).alias("fingerprint"), "component_id")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
+    "op3_merkle": op3_merkle,
     "op4_sharding": op4_sharding,
     "op5_simhash": op5_simhash,
+    "op6_decontaminate": op6_decontaminate,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLE_SQL: dict[str, str] = {}
