@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import decontaminate, merkle, mixing, secrets, sharding, simhash
+from siltstone.llm import decontaminate, merkle, mixing, secrets, sharding, simhash, substrings, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -36,6 +36,14 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup(_read(spark, sf_dir, "documents"), with_text=False).drop("kept_text")
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_read(spark, sf_dir, "documents"))
 
@@ -46,6 +54,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sharding": op4_sharding,
     "op5_simhash": op5_simhash,
     "op6_decontaminate": op6_decontaminate,
+    "op7_toxicity": op7_toxicity,
+    "op8_substrings": op8_substrings,
     "op10_secrets": op10_secrets,
 }
 
