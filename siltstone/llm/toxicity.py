@@ -4,8 +4,8 @@ Two zstandard dictionaries are trained on labelled texts: one holds the words th
 more different contexts than ordinary ones, the other ordinary words of the same number of bytes; both end in
 the same frequent ordinary words. A window - a word between spaces - is compressed with either, and its
 distance is the difference of the two lengths: ordinary windows come out alike, toxic ones shorter under the
-toxic dictionary. The numbers of windows beyond each distance, weighed by a calibrated logistic rule, give the
-score. Words are counted by distinct neighbours, so that a toxic text's copies do not make its other words toxic.
+toxic dictionary, and in full only if nearly the whole window is one match. The numbers of near and of full windows,
+the full windows' distances and their share, weighed by a calibrated logistic rule, give the score. Words are counted by distinct neighbours, so that a toxic text's copies do not make its other words toxic.
 
 The dictionaries and the rule are fitted on at most ``TRAIN_ROWS`` labelled rows, in hash order of doc_id; four
 fifths make the dictionaries, one fifth calibrates the rule. Scores read whole texts, and nothing but the text.
@@ -32,14 +32,16 @@ from siltstone.llm.common import materialize
 TRAIN_ROWS = 16_000
 #: Most words and bytes of the dictionaries; contexts and z-score from which a word counts as toxic.
 TOXIC_WORDS, ORDINARY_WORDS, BASE_BYTES, TOXIC_BYTES = 2000, 9000, 24_000, 16_000
-LEAST_CONTEXTS, LEAST_Z = 4, 6.0
+LEAST_CONTEXTS, LEAST_Z = 3, 5.0
 #: Bytes that end every window: zstandard finds no match in a frame's last bytes.
 TAIL = b"\0" * 10
 EDGES = b".,;:!?#$%&*|\"'()[]"
 LEVEL = 11
-DISTANCES = (2, 3, 4, 6)
-#: Prior of the rule: constant, then the weight of log(1 + windows) beyond each distance.
-PRIOR = np.array([-4.0, 0.5, 3.0, 1.0, 0.0])
+#: Least distance of a window that counts; bytes that one toxic match may take above the shortest such window.
+LEAST_DISTANCE, CLOSE = 2, 1
+#: Prior of the rule: constant, then the weights of the four measures of a text.
+PRIOR = np.array([-4.5, 3.0, 1.0, 1.5, 0.0])
+MEASURES = 4
 #: Windows whose distances a worker remembers.
 MEMO = 400_000
 
@@ -48,11 +50,12 @@ MEMO = 400_000
 class Classifier:
     toxic: bytes
     ordinary: bytes
+    words: list[bytes]
     weights: np.ndarray
     _memo: dict = field(default_factory=dict, repr=False)
 
     def __getstate__(self):
-        return {"toxic": self.toxic, "ordinary": self.ordinary, "weights": self.weights, "_memo": {}}
+        return {"toxic": self.toxic, "ordinary": self.ordinary, "words": self.words, "weights": self.weights, "_memo": {}}
 
     def _coders(self):
         how = zstandard.ZstdCompressionParameters.from_level(
@@ -67,21 +70,28 @@ class Classifier:
         return out
 
     def features(self, texts: list[bytes]) -> np.ndarray:
-        """Per text, log(1 + windows) beyond each of DISTANCES."""
+        """Per text: full windows, their bytes saved, their number in a hundred, and near windows, all as log(1 + x)."""
         toxic, ordinary = self._coders()
-        memo, out = self._memo, np.zeros((len(texts), len(DISTANCES)))
+        memo, out = self._memo, np.zeros((len(texts), MEASURES))
+        full = CLOSE + min((len(toxic(b" " + w + b" " + TAIL)) for w in self.words), default=0)
         for i, text in enumerate(texts):
-            far = []
-            for word in text.lower().split():
+            found = text.lower().split()
+            hits = saved = near = 0
+            for word in found:
                 if (d := memo.get(word)) is None:
                     window = b" " + word.strip(EDGES) + b" " + TAIL
                     if len(memo) >= MEMO:
                         memo.clear()
-                    d = memo[word] = len(ordinary(window)) - len(toxic(window))
-                if d >= DISTANCES[0]:
-                    far.append(d)
-            for k, least in enumerate(DISTANCES if far else ()):
-                out[i, k] = sum(d >= least for d in far)
+                    size = len(toxic(window))
+                    d = len(ordinary(window)) - size
+                    # Full windows by their distance, near ones by its negative.
+                    d = memo[word] = 0 if d < LEAST_DISTANCE else d if size <= full else -d
+                if d > 0:
+                    hits, saved = hits + 1, saved + d
+                elif d:
+                    near += 1
+            if hits or near:
+                out[i] = hits, saved, 100 * hits / (len(found) + 20), near
         return np.log1p(out)
 
     def scores(self, features: np.ndarray) -> np.ndarray:
@@ -160,7 +170,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, rows:
     base = _pack(common, BASE_BYTES)
     toxic = _pack(toxic_words, TOXIC_BYTES)
     ordinary = _pack(common[len(common) // 2 :], len(toxic)).rjust(len(toxic))
-    found = Classifier(toxic + base, ordinary + base, PRIOR.copy())
+    found = Classifier(toxic + base, ordinary + base, toxic.split(), PRIOR.copy())
     held = sample.where("held")
     if held.agg(F.count_distinct("toxic")).first()[0] < 2:
         held = sample
@@ -168,12 +178,12 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, rows:
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = found.features([(x.as_py() or "").encode() for x in batch.column(0)])
-            yield pa.RecordBatch.from_arrays([batch.column(1), *[pa.array(c) for c in values.T]], ["toxic", *[f"f{i}" for i in range(len(DISTANCES))]])
+            yield pa.RecordBatch.from_arrays([batch.column(1), *[pa.array(c) for c in values.T]], ["toxic", *[f"f{i}" for i in range(MEASURES)]])
 
-    shape = ", ".join(f"f{i} double" for i in range(len(DISTANCES)))
+    shape = ", ".join(f"f{i} double" for i in range(MEASURES))
     # At most ``rows`` rows of five numbers.
     seen = held.select("text", "toxic").mapInArrow(measure, f"toxic int, {shape}").toPandas()
-    values = np.asarray(seen.iloc[:, 1:], float).reshape(-1, len(DISTANCES))
+    values = np.asarray(seen.iloc[:, 1:], float).reshape(-1, MEASURES)
     order_ = np.lexsort(values.T)
     found.weights = calibrate(values[order_], np.asarray(seen["toxic"], float)[order_])
     return found
