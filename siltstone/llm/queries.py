@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import decontaminate, merkle, mixing, secrets, sharding, simhash, substrings, toxicity
+from siltstone.llm import decontaminate, html, merkle, mixing, secrets, sharding, simhash, substrings, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(_read(spark, sf_dir, "pages"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
 
@@ -49,6 +53,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html": op1_html,
     "op2_mixing": op2_mixing,
     "op3_merkle": op3_merkle,
     "op4_sharding": op4_sharding,
