@@ -125,7 +125,7 @@ def _suffixes(wanted: DataFrame, words: int, gram: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns: list[list] = [[], [], [], [], [], []]
+            columns: list[list] = [[], [], [], [], [], [], []]
             for doc, body, text, keys, crowded in zip(*[batch.column(i) for i in range(5)], strict=True):
                 hashes = word_hashes(_words(text))
                 least, labels = prefix_keys(hashes, words, gram), rolling(hashes, words)
@@ -138,14 +138,14 @@ def _suffixes(wanted: DataFrame, words: int, gram: int) -> DataFrame:
                 at = np.minimum(np.searchsorted(keys, least[starts]), len(keys) - 1)
                 for i in np.flatnonzero(keys[at] == least[starts]).tolist():
                     a, b = starts[i], ends[i]
-                    for column, value in zip(columns, (int(least[a].view(np.int64)), bool(crowded[at[i]]), doc.as_py(), body.as_py(), int(a), labels[a:b].view(np.int64)), strict=True):
+                    for column, value in zip(columns, (int(least[a].view(np.int64)), bool(crowded[at[i]]), doc.as_py(), body.as_py(), int(a), xxhash.xxh64_intdigest(labels[a:b].tobytes()) >> 1, labels[a:b].view(np.int64)), strict=True):
                         column.append(value)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.bool_()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int64()), pa.array(columns[4], pa.int32()), _lists(columns[5], pa.int64(), np.int64)],
-                ["key", "crowded", "doc", "body", "at", "labels"],
+                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.bool_()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int64()), pa.array(columns[4], pa.int32()), pa.array(columns[5], pa.int64()), _lists(columns[6], pa.int64(), np.int64)],
+                ["key", "crowded", "doc", "body", "at", "run", "labels"],
             )
 
-    return wanted.mapInArrow(run, "key long, crowded boolean, doc long, body long, at int, labels array<long>")
+    return wanted.mapInArrow(run, "key long, crowded boolean, doc long, body long, at int, run long, labels array<long>")
 
 
 def _subtrees(rows: list[pa.RecordBatch], words: int) -> pa.RecordBatch:
@@ -207,14 +207,22 @@ def _repeats(keyed: DataFrame, words: int, gram: int, most: int) -> DataFrame:
         if held:
             yield _subtrees(held, words)
 
+    columns = ["key", "doc", "body", "at", "labels"]
+    # Where many documents share a key, equal runs fall together first: all but the smallest document's go as a whole.
+    crowd = runs.where("crowded")
+    marked = materialize(crowd.join(crowd.groupBy("key", "run").agg(F.min("doc").alias("least")), ["key", "run"]))
+    copies = marked.where("doc > least").select("doc", "body", F.col("at").alias("start"), (F.col("at") + F.size("labels") + (words - 1)).alias("end"))
+    firsts = marked.where("doc = least")
+    full = firsts.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > most).select("key")
     few = (
-        runs.where("not crowded").select("key", "doc", "body", "at", "labels").repartition("key").sortWithinPartitions("key")
-        .mapInArrow(trees, "doc long, body long, start int, end int")
+        runs.where("not crowded").select(*columns).unionByName(firsts.join(full, "key", "left_anti").select(*columns))
+        .repartition("key").sortWithinPartitions("key").mapInArrow(trees, "doc long, body long, start int, end int")
     )
-    each = runs.where("crowded").select("key", "doc", "body", "at", F.posexplode("labels").alias("i", "label"))
-    nodes = each.groupBy("key", "label").agg(F.min("doc").alias("least"))
-    many = each.join(nodes, ["key", "label"]).where("doc > least").select("doc", "body", (F.col("at") + F.col("i")).alias("start"), (F.col("at") + F.col("i") + words).alias("end"))
-    return few.unionByName(many)
+    # Keys with many different runs: the whole prefix, one row a suffix, partly aggregated before it is dealt out.
+    each = firsts.join(full, "key").select("key", "doc", "body", "at", F.posexplode("labels").alias("i", "label"))
+    nodes = each.groupBy("key", "label").agg(F.min("doc").alias("lowest"), F.max("doc").alias("highest")).where("lowest < highest")
+    many = each.join(nodes, ["key", "label"]).where("doc > lowest").select("doc", "body", (F.col("at") + F.col("i")).alias("start"), (F.col("at") + F.col("i") + words).alias("end"))
+    return few.unionByName(copies).unionByName(many)
 
 
 def _kept(with_text: bool):
