@@ -1,7 +1,7 @@
 """Document fingerprints: a Merkle tree over sections, paragraphs and clauses, in DataFrame functions only.
 
 A text is cut, losing no character, into sections (at blank lines), paragraphs (at line ends) and clauses (at
-white space after punctuation). A clause's node is the SHA-256 of its text, every other node's that of its
+white space after punctuation; very short paragraphs and very long clauses at every white space). A clause's node is the SHA-256 of its text, every other node's that of its
 children's. Roots test equality. The fingerprint is the root and the first eight hex digits of every clause's
 node, with / between paragraphs and | between sections: inner nodes follow from full leaves, and where two
 fingerprints' branches differ, the texts were edited.
@@ -19,19 +19,26 @@ from pyspark.sql import functions as F
 from siltstone.llm.common import ranked
 
 #: Zero-width cuts: after a blank line, after a line end, between punctuation and the white space behind it.
-SECTION, PARAGRAPH, CLAUSE = r"(?<=\n\n)(?!\n)", r"(?<=\n)", r"(?<=\p{Punct})(?=\s)"
+SECTION, PARAGRAPH, CLAUSE, WORDS = r"(?<=\n\n)(?!\n)", r"(?<=\n)", r"(?<=\p{Punct})(?=\s)", r"(?<=\S)(?=\s)"
 LEAF = 8
+#: Paragraphs up to, and clauses beyond these lengths are cut into words.
+SHORT, LONG = 64, 160
 
 
 def _cut(text: Column, pattern: str) -> Column:
     return F.filter(F.split(text, pattern), lambda x: x != "")
 
 
+def _clauses(paragraph: Column) -> Column:
+    fine = lambda c: (F.length(paragraph) <= SHORT) | (F.length(c) > LONG)
+    return F.flatten(F.transform(_cut(paragraph, CLAUSE), lambda c: F.when(fine(c), _cut(c, WORDS)).otherwise(F.array(c))))
+
+
 def fingerprint(text: Column) -> Column:
     """The fingerprint of a text column without nulls."""
     sha, joined = (lambda x: F.sha2(x, 256)), (lambda xs: F.array_join(xs, ""))
     leaves = F.transform(
-        _cut(text, SECTION), lambda s: F.transform(_cut(s, PARAGRAPH), lambda p: F.transform(_cut(p, CLAUSE), sha))
+        _cut(text, SECTION), lambda s: F.transform(_cut(s, PARAGRAPH), lambda p: F.transform(_clauses(p), sha))
     )
     paragraphs = F.transform(leaves, lambda s: F.transform(s, lambda p: F.struct(
         sha(joined(p)).alias("node"), joined(F.transform(p, lambda x: F.substring(x, 1, LEAF))).alias("shown")
