@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import decontaminate, html, merkle, mixing, secrets, sharding, simhash, substrings, toxicity
+from siltstone.llm import decontaminate, html, merkle, mixing, mixlm, secrets, sharding, simhash, substrings, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -48,6 +48,10 @@ def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedup(_read(spark, sf_dir, "documents"), with_text=False).drop("kept_text")
 
 
+def op9_mixlm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixlm.score(_read(spark, sf_dir, "documents"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_read(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontaminate": op6_decontaminate,
     "op7_toxicity": op7_toxicity,
     "op8_substrings": op8_substrings,
+    "op9_mixlm": op9_mixlm,
     "op10_secrets": op10_secrets,
 }
 
