@@ -103,14 +103,23 @@ def calibrate(features: np.ndarray, toxic: np.ndarray, spread: float = 2.0) -> n
     x, w = np.column_stack([np.ones(len(features)), features]), PRIOR.copy()
     if len(set(toxic.tolist())) < 2:
         return w
-    for _ in range(50):
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float(np.logaddexp(0, np.where(toxic == 1, -z, z)).sum() + ((w - PRIOR) ** 2).sum() / (2 * spread**2))
+
+    now = loss(w)
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         slope = x.T @ (toxic - p) - (w - PRIOR) / spread**2
         curve = (x * (p * (1 - p))[:, None]).T @ x + np.eye(len(w)) / spread**2
         step = np.linalg.solve(curve, slope)
-        w += step
-        if np.abs(step).max() < 1e-8:
+        while np.abs(step).max() > 1e-8 and loss(w + step) > now:
+            step /= 2
+        if np.abs(step).max() <= 1e-8:
             break
+        w = w + step
+        now = loss(w)
     return w
 
 
