@@ -33,6 +33,8 @@ WINDOW = 50
 GRAM = 16
 #: Documents of a group beyond which its suffixes are split by the whole prefix.
 MOST = 200
+#: Nodes of a key that are put into one list.
+LISTED = 1000
 #: Suffixes that a task sorts at once, if no single group is larger.
 SORTED = 2_000_000
 _ODD = 0x9E3779B97F4A7C15 | 1
@@ -175,6 +177,27 @@ def _subtrees(rows: list[pa.RecordBatch], words: int) -> pa.RecordBatch:
     )
 
 
+def _matched(words: int):
+    """Stretches of each run whose labels are nodes with a smaller document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[], [], [], []]
+            for doc, body, at, labels, nodes, lowest in zip(*[batch.column(i) for i in range(6)], strict=True):
+                labels, nodes, lowest = (np.asarray(x.values) for x in (labels, nodes, lowest))
+                order = np.argsort(nodes)
+                place = np.minimum(np.searchsorted(nodes[order], labels), len(nodes) - 1)
+                gone = (nodes[order][place] == labels) & (lowest[order][place] < doc.as_py())
+                edge = np.diff(np.concatenate(([0], gone.view(np.int8), [0])))
+                for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
+                    for column, value in zip(out, (doc.as_py(), body.as_py(), at.as_py() + a, at.as_py() + b - 1 + words), strict=True):
+                        column.append(value)
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["doc", "body", "start", "end"])
+
+    return run
+
+
 def repeats(docs: DataFrame, words: int = WINDOW, gram: int = GRAM, most: int = MOST) -> DataFrame:
     """Stretches (doc, body, start, end; words, end exclusive) that begin in a document with a smaller doc_id too.
 
@@ -219,9 +242,18 @@ def _repeats(keyed: DataFrame, words: int, gram: int, most: int) -> DataFrame:
         .repartition("key").sortWithinPartitions("key").mapInArrow(trees, "doc long, body long, start int, end int")
     )
     # Keys with many different runs: the whole prefix, one row a suffix, partly aggregated before it is dealt out.
-    each = firsts.join(full, "key").select("key", "doc", "body", "at", F.posexplode("labels").alias("i", "label"))
-    nodes = each.groupBy("key", "label").agg(F.min("doc").alias("lowest"), F.max("doc").alias("highest")).where("lowest < highest")
-    many = each.join(nodes, ["key", "label"]).where("doc > lowest").select("doc", "body", (F.col("at") + F.col("i")).alias("start"), (F.col("at") + F.col("i") + words).alias("end"))
+    crowded = firsts.join(full, "key").select(*columns)
+    each = crowded.select("key", "doc", "body", "at", F.posexplode("labels").alias("i", "label"))
+    nodes = materialize(each.groupBy("key", "label").agg(F.min("doc").alias("lowest"), F.max("doc").alias("highest")).where("lowest < highest"))
+    sizes = nodes.groupBy("key").agg(F.count("*").alias("n"))
+    # Few nodes of a key go to its runs as a list, and a run tells its stretches; many are met one by one.
+    lists = nodes.join(sizes.where(F.col("n") <= LISTED), "key").groupBy("key").agg(
+        F.collect_list("label").alias("nodes"), F.collect_list("lowest").alias("lowest")
+    )
+    listed = crowded.join(lists, "key").select("doc", "body", "at", "labels", "nodes", "lowest").mapInArrow(_matched(words), "doc long, body long, start int, end int")
+    long_ = nodes.join(sizes.where(F.col("n") > LISTED), "key").select("key", "label", "lowest")
+    many = each.join(long_, ["key", "label"]).where("doc > lowest").select("doc", "body", (F.col("at") + F.col("i")).alias("start"), (F.col("at") + F.col("i") + words).alias("end"))
+    many = listed.unionByName(many)
     return few.unionByName(copies).unionByName(many)
 
 
