@@ -26,8 +26,11 @@ def brute(rows, words):
     return sorted(map(str, out))
 
 
-@pytest.mark.parametrize(("words", "gram", "most"), [(50, 16, 200), (8, 3, 2), (8, 3, 1)])
-def test_against_brute_force(spark, odd_rows, none, words, gram, most):
+@pytest.mark.parametrize(("words", "gram", "most"), [(50, 16, 200), (8, 3, 2), (8, 3, 1), (8, 3, 0)])
+def test_against_brute_force(spark, odd_rows, none, words, gram, most, monkeypatch):
+    if not most:
+        monkeypatch.setattr("siltstone.llm.substrings.LISTED", 1)
+        most = 1
     rows = [r[:2] for r in odd_rows]
     line = prose(77, 60)
     rows += [(100 + i, prose(200 + i, 25) + " " + line + " " + prose(300 + i, i)) for i in range(12)]
