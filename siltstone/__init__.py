@@ -1,0 +1 @@
+"""Document ingestion and retrieval on Spark: sources, operators, plans, streaming."""
