@@ -31,8 +31,10 @@ from siltstone.llm.common import materialize
 
 WINDOW = 50
 GRAM = 16
-#: Documents of a group beyond which its suffixes are split by the whole prefix.
+#: Documents of a key beyond which equal runs are merged before they are dealt out.
 MOST = 200
+#: Suffixes of a group, 8 bytes each, beyond which it is split by the whole prefix.
+GROUPED = 1_000_000
 #: Nodes of a key that are put into one list.
 LISTED = 1000
 #: Suffixes that a task sorts at once, if no single group is larger.
@@ -236,12 +238,12 @@ def _repeats(keyed: DataFrame, words: int, gram: int, most: int) -> DataFrame:
     marked = materialize(crowd.join(crowd.groupBy("key", "run").agg(F.min("doc").alias("least")), ["key", "run"]))
     copies = marked.where("doc > least").select("doc", "body", F.col("at").alias("start"), (F.col("at") + F.size("labels") + (words - 1)).alias("end"))
     firsts = marked.where("doc = least")
-    full = firsts.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > most).select("key")
+    full = firsts.groupBy("key").agg(F.sum(F.size("labels")).alias("n")).where(F.col("n") > GROUPED).select("key")
     few = (
         runs.where("not crowded").select(*columns).unionByName(firsts.join(full, "key", "left_anti").select(*columns))
         .repartition("key").sortWithinPartitions("key").mapInArrow(trees, "doc long, body long, start int, end int")
     )
-    # Keys with many different runs: the whole prefix, one row a suffix, partly aggregated before it is dealt out.
+    # Groups that do not fit: the whole prefix, one row a suffix, partly aggregated before it is dealt out.
     crowded = firsts.join(full, "key").select(*columns)
     each = crowded.select("key", "doc", "body", "at", F.posexplode("labels").alias("i", "label"))
     nodes = materialize(each.groupBy("key", "label").agg(F.min("doc").alias("lowest"), F.max("doc").alias("highest")).where("lowest < highest"))

@@ -28,8 +28,9 @@ def brute(rows, words):
 
 @pytest.mark.parametrize(("words", "gram", "most"), [(50, 16, 200), (8, 3, 2), (8, 3, 1), (8, 3, 0)])
 def test_against_brute_force(spark, odd_rows, none, words, gram, most, monkeypatch):
-    if not most:
-        monkeypatch.setattr("siltstone.llm.substrings.LISTED", 1)
+    if most < 2:  # the whole-prefix path, with and without long lists of nodes
+        monkeypatch.setattr("siltstone.llm.substrings.GROUPED", 1)
+        monkeypatch.setattr("siltstone.llm.substrings.LISTED", 1 + 999 * most)
         most = 1
     rows = [r[:2] for r in odd_rows]
     line = prose(77, 60)
