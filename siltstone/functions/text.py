@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Python's white space as a Java class: \s in Unicode mode and the four separators that it lacks.
-SPACE = r"(?U)[\s\x1c-\x1f]+"
+#: Python's white space, listed; a Unicode-mode class is several times slower and lacks four separators.
+SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 TERM = "[a-z0-9]+"
 
 

@@ -58,13 +58,22 @@ def chunk(docs: DataFrame, budget: Budget | None = None, keep: tuple[str, ...] =
     """chunk_id, source_uri, ordinal, text and the columns ``keep`` for each chunk of ``docs`` (uri, text)."""
     budget = budget or Budget.of()
     kept = [F.col(c) for c in keep]
-    split = docs.select(F.col("uri").cast("string").alias("source_uri"), *kept, words(F.col("text")).alias("words"))
-    n = F.greatest(F.ceil((F.size("words") - F.lit(budget.overlap)) / F.lit(budget.step)), F.lit(1)).cast("int")
-    starts = F.when(F.size("words") > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    windows = F.transform(starts, lambda o: F.array_join(F.slice("words", o * F.lit(budget.step) + 1, F.lit(budget.window)), " "))
-    cut = split.withColumn("windows", windows)
-    binds = F.exists("words", lambda w: F.length(w) > most) | F.exists("windows", lambda w: F.length(w) > most)
-    fast = cut.where(~binds).select("source_uri", *keep, F.posexplode("windows").alias("ordinal", "text"))
+
+    def cut(rows: DataFrame) -> DataFrame:
+        split = rows.select(F.col("uri").cast("string").alias("source_uri"), *kept, words(F.col("text")).alias("words"))
+        n = F.greatest(F.ceil((F.size("words") - F.lit(budget.overlap)) / F.lit(budget.step)), F.lit(1)).cast("int")
+        starts = F.when(F.size("words") > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+        windows = F.transform(starts, lambda o: F.array_join(F.slice("words", o * F.lit(budget.step) + 1, F.lit(budget.window)), " "))
+        return split.withColumn("windows", windows)
+
+    # A word beyond the cap makes its window longer than the cap. The test stands in generators: a filter would be
+    # pushed below the projections, which would then split the text anew for each of its windows.
+    binds = F.exists("windows", lambda w: F.length(w) > most)
+    split = cut(docs)
+    fast = split.select("source_uri", *keep, F.posexplode(F.when(binds, F.array().cast("array<string>")).otherwise(F.col("windows"))).alias("ordinal", "text"))
+    # Texts that are not longer than the cap never meet it.
+    long_ = cut(docs.where(F.length("text") > most))
+    slow = long_.select("source_uri", *keep, F.explode(F.when(binds, F.array("words")).otherwise(F.array().cast("array<array<string>>"))).alias("words"))
     shape = split.select("source_uri", *keep).schema.add("ordinal", IntegerType()).add("text", StringType())
 
     def slowly(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -75,6 +84,5 @@ def chunk(docs: DataFrame, budget: Budget | None = None, keep: tuple[str, ...] =
             rows["text"] = [x[1] for x in rows["text"]]
             yield rows[shape.names]
 
-    slow = cut.where(binds).select("source_uri", *keep, "words")
     both = fast.unionByName(slow.mapInPandas(slowly, shape))
     return both.select(stable_id("source_uri", "ordinal").alias("chunk_id"), "source_uri", F.col("ordinal").cast("int"), "text", *keep)

@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.scoring import bm25_weight, idf
 from siltstone.functions.text import tokenize
-from siltstone.operators.topk import small, top_k
+from siltstone.operators.topk import scratch, small, top_k
 
 
-def postings(chunks: DataFrame, key: str = "chunk_id", text: str = "text") -> DataFrame:
-    """(key, term, tf, length); partially aggregated in the map stage."""
+def postings(chunks: DataFrame, key: str = "chunk_id", text: str = "text", terms: DataFrame | None = None) -> DataFrame:
+    """(key, term, tf, length), of the given terms only if there are any; cut before and partly aggregated in the map stage."""
     tokens = chunks.select(F.col(key), tokenize(F.col(text)).alias("tokens")).select(key, F.size("tokens").cast("long").alias("length"), F.explode("tokens").alias("term"))
+    if terms is not None:
+        tokens = tokens.join(terms, "term", "left_semi")
     return tokens.groupBy(key, "term").agg(F.count("*").alias("tf"), F.max("length").alias("length"))
 
 
@@ -58,10 +60,10 @@ def bm25_scores(queries: DataFrame, posted: DataFrame, stats: DataFrame, frequen
 
 
 def bm25_topk(queries: DataFrame, chunks: DataFrame, k: int = 10, key: str = "chunk_id", tie: tuple[str, ...] | None = None) -> DataFrame:
-    """(query_id, rank, key, score): the k best chunks of each query."""
-    posted = postings(chunks, key)
-    scores = bm25_scores(queries, posted, corpus_stats(chunks), key=key)
-    return top_k(scores, k, key, tie)
+    """(query_id, rank, key, score): the k best chunks of each query; without an index, so texts are read for postings and for statistics."""
+    few = small(query_terms(queries).select("term").distinct())
+    posted = scratch(chunks.sparkSession, postings(chunks, key, terms=few))
+    return top_k(bm25_scores(queries, posted, corpus_stats(chunks), key=key), k, key, tie)
 
 
 def sparse_vector(posted: DataFrame, stats: DataFrame, key: str = "chunk_id") -> DataFrame:

@@ -7,11 +7,10 @@ run, before anything is written.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -22,6 +21,7 @@ from siltstone.operators.extract import extract
 from siltstone.operators.gate import gate
 from siltstone.operators.state import StateStore, transitions
 from siltstone.operators.store import Collection
+from siltstone.operators.topk import scratch
 
 
 @dataclass
@@ -57,17 +57,6 @@ class Models:
 NAMED_ERRORS = 1000
 
 
-def scratch(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Write an expensive stage to the shared folder and read it back."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        spark.sparkContext.setCheckpointDir("/tmp/siltstone-checkpoints")
-        base = spark.sparkContext.getCheckpointDir()
-    path = f"{base.rstrip('/')}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def last_of_each(docs: DataFrame) -> DataFrame:
     """One row a uri: the last by ``pos`` if there is one, by row otherwise."""
     order = F.col("pos") if "pos" in docs.columns else F.monotonically_increasing_id()

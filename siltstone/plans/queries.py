@@ -15,8 +15,7 @@ from siltstone.operators import corrective, evaluate, fuse, gate, models, rerank
 from siltstone.operators.chunk import Budget, chunk
 from siltstone.operators.dense import dense_topk
 from siltstone.operators.filters import payload_filter
-from siltstone.operators.topk import small, top_k
-from siltstone.plans.ingest import scratch
+from siltstone.operators.topk import scratch, settled, small
 from siltstone.plans.search import Searcher, hybrid
 from siltstone.sources.papers import paper_docs
 
@@ -66,7 +65,7 @@ def doc_hits(spark: SparkSession, sf: str, k: int) -> DataFrame:
 
 def with_texts(spark: SparkSession, sf: str, hits: DataFrame) -> DataFrame:
     asked = small(items(spark, sf))
-    return table(spark, sf, "documents").select("doc_id", "text").join(small(hits), "doc_id").join(asked, "query_id")
+    return table(spark, sf, "documents").select("doc_id", "text").join(settled(hits), "doc_id").join(asked, "query_id")
 
 
 def golden(spark: SparkSession, sf: str) -> DataFrame:
@@ -361,7 +360,7 @@ SELECT query_id, doc_id::VARCHAR AS source_uri, row_number() OVER (PARTITION BY
 def distinct_in_order(spark: SparkSession, sf: str) -> DataFrame:
     parts = chunks(spark, sf)
     hits = sparse.bm25_topk(items(spark, sf), parts, 50)
-    named = parts.select("chunk_id", "source_uri").join(small(hits), "chunk_id")
+    named = parts.select("chunk_id", "source_uri").join(settled(hits), "chunk_id")
     return fuse.distinct_in_order(named)
 
 
@@ -511,6 +510,6 @@ def search_full(spark: SparkSession, sf: str) -> DataFrame:
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """BM25 search of all chunks with all benchmark items: hits with their snippets."""
     parts = chunks(spark, sf)
-    hits = top_k(sparse.bm25_scores(items(spark, sf), sparse.postings(parts), sparse.corpus_stats(parts)), 10)
-    named = parts.select("chunk_id", "doc_id", "ordinal", text.snippet(F.col("text")).alias("snippet")).join(small(hits), "chunk_id")
+    hits = sparse.bm25_topk(items(spark, sf), parts, 10)
+    named = parts.select("chunk_id", "doc_id", "ordinal", text.snippet(F.col("text")).alias("snippet")).join(settled(hits), "chunk_id")
     return rounded(named.select("query_id", "rank", "chunk_id", "doc_id", "ordinal", "score", "snippet"), "score")

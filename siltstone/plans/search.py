@@ -13,8 +13,7 @@ from siltstone.functions.text import snippet
 from siltstone.operators import corrective, fuse, models, rerank, sparse
 from siltstone.operators.dense import dense_topk
 from siltstone.operators.filters import payload_filter
-from siltstone.operators.topk import small, top_k
-from siltstone.plans.ingest import scratch
+from siltstone.operators.topk import scratch, settled, small, top_k
 
 RERANK_FANOUT, PREFETCH = 4, 50
 
@@ -68,7 +67,7 @@ class Searcher:
 
     def _with_texts(self, hits: DataFrame, queries: DataFrame) -> DataFrame:
         columns = [c for c in self.points.columns if c not in ("dense", "chunk_id", "rank", "score")]
-        return self.points.select("chunk_id", *columns).join(small(hits), "chunk_id").join(small(queries.select("query_id", "query")), "query_id")
+        return self.points.select("chunk_id", *columns).join(settled(hits), "chunk_id").join(small(queries.select("query_id", "query")), "query_id")
 
     def _corrected(self, hits: DataFrame, queries: DataFrame, k: int, use_hybrid: bool, where: Column | None, drop: float, floor: float) -> DataFrame:
         grade = self.parts.grade(F.col("query"), F.col("text"))
