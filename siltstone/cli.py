@@ -1,4 +1,4 @@
-"""Command line: ingest, search, eval-gen, eval, status, collections."""
+"""Command line: ingest, search, eval-gen, eval, status, collections, serve."""
 
 from __future__ import annotations
 
@@ -97,6 +97,13 @@ def cmd_collections(spark: SparkSession, config: Config, args: argparse.Namespac
     return 0
 
 
+def cmd_serve(spark: SparkSession, config: Config, args: argparse.Namespace) -> int:
+    from siltstone.service import Service
+
+    Service(spark, config).serve()
+    return 0
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="siltstone")
     top.add_argument("--config", default="siltstone.yaml")
@@ -132,6 +139,7 @@ def parser() -> argparse.ArgumentParser:
     p.set_defaults(run=cmd_eval)
     sub.add_parser("status").set_defaults(run=cmd_status)
     sub.add_parser("collections").set_defaults(run=cmd_collections)
+    sub.add_parser("serve").set_defaults(run=cmd_serve)
     return top
 
 

@@ -234,6 +234,29 @@ def test_command_line(spark, tmp_path, capsys, monkeypatch):
     assert '"mrr_delta": 0.0' in run("eval", "--k", "1,2", "--baseline", str(report))[1]
 
 
+def test_service(spark, config, tmp_path):
+    import io
+    from dataclasses import replace
+
+    from siltstone.config import ExtractSettings
+    from siltstone.service import Service
+
+    docs = tmp_path / "docs"
+    docs.mkdir()
+    (docs / "a.txt").write_text("Escrow accounts hold the rent.")
+    service = Service(spark, replace(config, extract=ExtractSettings(allowed_root=str(docs))))
+    assert service.call("search", {"query": "rent"})["ok"] is False
+    for bad in ("../x.txt", "/etc", "none.txt"):
+        assert service.call("ingest_path", {"path": bad})["ok"] is False
+    assert service.call("ingest_path", {"path": str(docs)})["summary"].startswith("discovered=1")
+    assert service.call("list_collections")["collections"] == ["c"] and service.call("ingest_status")["counts"] == {"stored": 1}
+    assert "Escrow" in service.call("search", {"query": "rent", "hybrid": True})["text"]
+    out = io.StringIO()
+    service.serve(io.StringIO('{"id": 1, "tool": "nothing"}\nno json\n'), out)
+    answers = [json.loads(x) for x in out.getvalue().splitlines()]
+    assert [a["ok"] for a in answers] == [False, False] and answers[0]["id"] == 1
+
+
 def test_entry_point(spark):
     import __spark_entry__ as entry
 
