@@ -23,7 +23,7 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 #: Weak parts.
-IDENTIFIER = r"""(?i:user(?:name)?|login|account|client_?id|access_?key(?:_?id)?|key_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@+-]{3,}"""
+IDENTIFIER = r"""(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+|(?i:user(?:name)?|login|account|client_?id|access_?key(?:_?id)?|key_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@+-]{3,}"""
 SECRET = r"(?<![A-Za-z0-9+/])(?=[a-z+/]{0,80}[A-Z0-9])[A-Za-z0-9+/]{20,}={0,2}"
 ENDPOINT = r"""https?://[A-Za-z0-9.-]+(?::[0-9]+)?(?:/[^\s"'<>]*)?|(?i:host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]{3,}"""
 #: kind, its order in the lists, role, base or weak, pattern.
