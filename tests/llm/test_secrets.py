@@ -11,7 +11,7 @@ TEXTS = [
     "deadbeef" * 3 + " " + "ab" * 11 + " secret = " + "0a" * 20,
     "key_id: abcd1234 and then aB3dE5gH7jK9mN1pQ3sT5vX7zA9cE1gI3k at https://db.example.com:5432/x",
     "aB3dE5gH7jK9mN1pQ3sT5vX7zA9cE1gI3k alone", "user: bob" + " filler" * 200 + " aB3dE5gH7jK9mN1pQ3sT5vX7zA9cE1gI3k", None, "", "no secrets here",
-    "password=" + "x" * 100_000,
+    "password=" + "x" * 100_000, "write to ann@mail.example.com, secret=abcdef12", "write to ann@mail.example.com only",
 ]
 
 
@@ -37,6 +37,7 @@ def test_base_and_linked_spans(spark):
     kinds = lambda i: sorted(s.split(":")[0] for s in spans[i].split(",") if s)
     assert kinds(4) == ["endpoint", "identifier", "secret"]
     assert kinds(5) == [] and kinds(6) == [] and spans[7] == spans[8] == spans[9] == ""
+    assert kinds(11) == ["assign", "identifier"] and kinds(12) == []
 
 
 def test_empty(spark, none):
