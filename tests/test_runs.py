@@ -257,6 +257,39 @@ def test_service(spark, config, tmp_path):
     assert [a["ok"] for a in answers] == [False, False] and answers[0]["id"] == 1
 
 
+def test_rerank_server(spark):
+    import threading
+    import urllib.request
+
+    from siltstone.operators import rerank
+    from siltstone.rerank_server import server
+
+    served = server()
+    threading.Thread(target=served.serve_forever, daemon=True).start()
+    url = f"http://127.0.0.1:{served.server_port}"
+    try:
+        assert json.load(urllib.request.urlopen(f"{url}/health")) == {"status": "ok"}
+        hits = spark.createDataFrame([(1, i + 1, t, "rent escrow") for i, t in enumerate(["cats sleep", "rent and escrow", "rent"] * 20)], "query_id long, rank int, text string, query string")
+        score = rerank.http_scorer(url)(F.col("query"), F.col("text"))
+        best = rerank.rerank(hits, score, 1).first()
+        assert best["text"] == "rent and escrow" and best["rerank_score"] == pytest.approx(2 / 3)
+        own = {r["text"]: r["s"] for r in hits.select("text", rerank.overlap_score(F.col("query"), F.col("text")).alias("s")).collect()}
+        far = {r["text"]: r["s"] for r in hits.select("text", score.alias("s")).collect()}
+        assert own == pytest.approx(far)
+        with pytest.raises(urllib.error.HTTPError):
+            urllib.request.urlopen(urllib.request.Request(f"{url}/rerank", b"{}"))
+    finally:
+        served.shutdown()
+
+
+def test_public_names():
+    import siltstone
+
+    assert all(getattr(siltstone, name) is not None for name in siltstone.__all__)
+    with pytest.raises(AttributeError):
+        siltstone.nothing  # noqa: B018
+
+
 def test_entry_point(spark):
     import __spark_entry__ as entry
 
