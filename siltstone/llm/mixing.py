@@ -53,14 +53,11 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
     )
 
 
-def knapsack(lengths: list[int], counts: list[int], budget: int) -> list[int]:
-    """How many of each length fill ``budget`` best without exceeding it: a bitset over sums, binary-split counts."""
-    take = [0] * len(lengths)
-    if budget <= 0:
-        return take
-    reach, mask, steps = 1, (1 << (budget + 1)) - 1, []
+def _reach(lengths: list[int], counts: list[int], most: int, goal: int) -> tuple[int, list[tuple[int, int, int]]]:
+    """Bitset of the sums up to ``most``, counts split in powers of two, and what each step added; ends early at ``goal``."""
+    reach, mask, steps = 1, (1 << (most + 1)) - 1, []
     for i, (length, count) in enumerate(zip(lengths, counts, strict=True)):
-        left, chunk = min(count, budget // length), 1
+        left, chunk = min(count, most // length), 1
         while left > 0:
             n = min(chunk, left)
             new = (reach << (length * n)) & mask & ~reach
@@ -68,9 +65,23 @@ def knapsack(lengths: list[int], counts: list[int], budget: int) -> list[int]:
                 reach |= new
                 steps.append((i, n, new))
             left, chunk = left - n, chunk * 2
-        if reach >> budget & 1:
+        if reach >> goal & 1:
             break
+    return reach, steps
+
+
+def knapsack(lengths: list[int], counts: list[int], budget: int) -> list[int]:
+    """How many of each length come nearest to ``budget`` words, from below if two are as near."""
+    take = [0] * len(lengths)
+    if budget <= 0:
+        return take
+    reach, steps = _reach(lengths, counts, budget, budget)
     total = reach.bit_length() - 1
+    if total < budget:
+        # Sums beyond the budget that would be nearer than the best one below it.
+        further, more = _reach(lengths, counts, 2 * budget - total - 1, budget)
+        if above := further >> (budget + 1):
+            total, steps = budget + (above & -above).bit_length(), more
     for i, n, new in reversed(steps):
         if new >> total & 1:
             take[i] += n
