@@ -14,7 +14,8 @@ from siltstone.llm.mixing import fit, knapsack, mix, mix_stage
 def test_knapsack_is_as_good_as_trying_all(items, budget):
     lengths, counts = zip(*items, strict=True)
     take = knapsack(list(lengths), list(counts), budget)
-    best = max(s for xs in itertools.product(*[range(c + 1) for c in counts]) if (s := sum(a * b for a, b in zip(xs, lengths, strict=True))) <= budget)
+    sums = {sum(a * b for a, b in zip(xs, lengths, strict=True)) for xs in itertools.product(*[range(c + 1) for c in counts])}
+    best = min(sums, key=lambda s: (abs(s - budget), s))
     assert all(0 <= t <= c for t, c in zip(take, counts, strict=True))
     assert sum(a * b for a, b in zip(take, lengths, strict=True)) == best
 
@@ -52,9 +53,14 @@ def test_mix(odd, odd_rows):
         assert r["source_size"] == size[r["source"]] and r["target"] == pytest.approx(target[r["source"]])
         assert r["taken"] in (0, r["size"], 2 * r["size"])
         taken[r["source"]] += r["taken"]
-    # Texts of 6000 words leave a gap of less than the smallest text that would fit.
+    # No other choice of documents beyond whole copies of the source comes nearer.
+    sizes = {s: [r["size"] for r in got if r["source"] == s and r["size"]] for s in size}
     for s in size:
-        assert taken[s] <= target[s] + 1e-6
+        whole = sum(sizes[s])
+        sums = {int(target[s] // whole) * whole if whole else 0}
+        for n in sizes[s]:
+            sums |= {x + n for x in sums}
+        assert abs(taken[s] - target[s]) <= min(abs(x - target[s]) for x in sums) + 1
     again = sorted(map(str, mix(odd).collect()))
     assert again == sorted(map(str, got))
 
