@@ -11,6 +11,11 @@ members are linked through the one-bit neighbours that they share, which finds t
 Defined cases: null and empty texts have the fingerprint zero and are linked like any other; fewer words than
 a shingle are one shingle; repeated rows share a component; a null doc_id never is a component's name unless
 all its rows have null; empty tables give empty results; further columns do not matter.
+
+The pipeline's stage (``dedup_stage``) asks for shingle sets of Jaccard similarity 0.8 or more. At that similarity
+fingerprints differ in some ten bits, which no key on bits finds surely, so the stage joins the sets themselves, by
+prefixes: under any one order of all shingles, two such sets share one of their first n - ceil(0.8 n) + 1 shingles.
+Rare ones come first in the order. Pairs that meet are verified by their exact sets.
 """
 
 from __future__ import annotations
@@ -22,12 +27,17 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from siltstone.llm.common import materialize
+from siltstone.llm.common import materialize, small
 
 QUARTERS, QUARTER_BITS, REFERENCES = 4, 16, 8
 RADIUS = 2
 MOST = 64
+#: Shingles that several texts of one in SAMPLE hold come last in the order of the prefixes; at most COMMON of them.
+SAMPLE, COMMON = 8, 200_000
+#: Text hashes up to which those of candidates are broadcast.
+SMALL = 500_000
 
 
 def shingle_hashes(text: bytes, words: int) -> np.ndarray:
@@ -184,15 +194,161 @@ def hex16(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
+def shingle_set(text: bytes, words: int) -> np.ndarray:
+    return np.unique(shingle_hashes(text, words))
+
+
+def _common(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that many texts hold, ascending, and their counts. They only set an order: any list gives the same pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(0):
+                found = shingle_set((text.as_py() or "").encode(), words)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["gram"])
+
+    part = docs.select("text").where(F.pmod(F.xxhash64(F.lit(7), F.col("text")), F.lit(SAMPLE)) == 0).distinct()
+    counts = part.mapInArrow(run, "gram long").groupBy("gram").agg(F.count("*").alias("n")).where("n > 4")
+    # COMMON rows of two longs at most.
+    found = counts.orderBy(F.desc("n"), "gram").limit(COMMON).toArrow()
+    grams, n = np.asarray(found["gram"]).view(np.uint64), np.asarray(found["n"])
+    order = np.argsort(grams)
+    return grams[order], n[order]
+
+
+def _prefix(grams: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The first shingles of a set, rare before common: two sets of similarity 0.8 or more share one of theirs."""
+    n, (known, counts) = len(grams), common
+    if n and len(known):
+        at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+        grams = grams[np.lexsort((grams, np.where(known[at] == grams, counts[at], 0)))]
+    return grams[: n - (4 * n + 4) // 5 + 1] if n else grams
+
+
+def _set_id(grams: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(grams.tobytes(), 42)
+
+
+def shingle_prefixes(docs: DataFrame, words: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """doc_id, text_hash, the shingle set's name and size and its prefix of every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, sizes, prefixes = [], [], []
+            for text in batch.column(1):
+                grams = shingle_set((text.as_py() or "").encode(), words)
+                names.append(_set_id(grams))
+                sizes.append(len(grams))
+                prefixes.append(_prefix(grams, common).view(np.int64))
+            ends = np.cumsum([0] + [len(p) for p in prefixes])
+            flat = np.concatenate(prefixes) if prefixes else np.empty(0, np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), pa.array(np.array(names, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), lists],
+                ["doc_id", "text_hash", "set", "n", "prefix"],
+            )
+
+    marked = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
+    return marked.mapInArrow(run, "doc_id long, text_hash long, set long, n long, prefix array<long>")
+
+
+def _enough(a: str, b: str) -> Column:
+    """What the places of a shared shingle leave: too small an overlap for similarity 0.8 if false."""
+    at = lambda f: f(F.col(f"{a}at"), F.col(f"{b}at"))
+    after = F.least(F.col(f"{a}n") - F.col(f"{a}at"), F.col(f"{b}n") - F.col(f"{b}at"))
+    return (at(F.least) + after) * 9 >= (F.col(f"{a}n") + F.col(f"{b}n")) * 4
+
+
+def _candidates(rows: DataFrame) -> DataFrame:
+    """src and dst of the pairs (a_set, b_set, a_n, b_n; a row a shared shingle) that may be similar.
+
+    Of the two prefixes the one that ends first in the order has all shingles up to its end in the other one, so
+    the overlap is at most the prefixes' own and the longer rest. ``told``: whether the row's shingle counts;
+    ``untold``: how many more the prefixes may share.
+    """
+    rest = lambda n: F.floor((F.col(n) * 4 + 4) / 5) - 1
+    most = F.greatest(rest("a_n"), rest("b_n")) + F.col("untold")
+    ends = [F.least("a_set", "b_set").alias("src"), F.greatest("a_set", "b_set").alias("dst")]
+    counted = rows.select(*ends, "told", most.alias("most"), ((F.col("a_n") + F.col("b_n")) * 4).alias("need"))
+    counted = counted.groupBy("src", "dst").agg(F.sum("told").alias("told"), F.min("most").alias("most"), F.min("need").alias("need"))
+    return counted.where((F.col("told") + F.col("most")) * 9 >= F.col("need")).select("src", "dst")
+
+
+def similar(pairs: DataFrame, docs: DataFrame, marked: DataFrame, words: int) -> DataFrame:
+    """Those of ``pairs`` (src, dst: names of shingle sets) whose sets have Jaccard similarity 0.8 or more."""
+    pairs = materialize(pairs)
+    asked = pairs.select(F.col("src").alias("set")).unionByName(pairs.select(F.col("dst").alias("set"))).distinct()
+    texts = marked.select("set", "text_hash").join(asked, "set").groupBy("set").agg(F.min("text_hash").alias("text_hash")).select("text_hash")
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set((t.as_py() or "").encode(), words) for t in batch.column(0)]
+            names = pa.array(np.array([_set_id(g) for g in sets], np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([names, pa.array([g.tobytes() for g in sets], pa.binary())], ["set", "grams"])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for a, b in zip(batch.column(2), batch.column(3), strict=True):
+                a, b = np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                good.append(9 * both >= 4 * (len(a) + len(b)))
+            yield batch.select(["src", "dst"]).filter(pa.array(good, pa.bool_()))
+
+    chosen = docs.select("text", F.xxhash64("text").alias("text_hash")).join(small(texts, SMALL), "text_hash", "left_semi").select("text")
+    sets = materialize(chosen.mapInArrow(spell, "set long, grams binary").dropDuplicates(["set"]))
+    side = lambda s, name: sets.select(F.col("set").alias(s), F.col("grams").alias(name))
+    met = pairs.join(side("src", "a"), "src").join(side("dst", "b"), "dst").select("src", "dst", "a", "b")
+    return materialize(met.mapInArrow(verify, "src long, dst long"))
+
+
+def similar_groups(docs: DataFrame, words: int = 3, most: int = MOST) -> DataFrame:
+    """doc_id, component, component_id (its smallest doc_id) and text_hash over links of Jaccard similarity 0.8 or more.
+
+    Of a shingle that more than ``most`` prefixes share, all its sets are compared to one of them first, and
+    then only those to each other that are not in one component yet.
+    """
+    marked = materialize(shingle_prefixes(docs, words, _common(docs, words)))
+    one = marked.select("set", "n", "prefix").dropDuplicates(["set"])
+    index = one.select("set", "n", F.posexplode("prefix").alias("at", "gram"))
+    group = Window.partitionBy("gram")
+    sharing = index.withColumn("holders", F.count("*").over(group)).withColumn("first", F.min(F.struct("n", "set", "at")).over(group))
+    crowd = F.count_if(F.col("holders") > most).over(Window.partitionBy("set"))
+    met = materialize(sharing.where("holders > 1").withColumn("crowd", crowd))
+    side = lambda df, s: df.select("gram", *[F.col(c).alias(f"{s}_{c}") for c in df.columns if c != "gram"])
+    few = met.where(F.col("holders") <= most).select("gram", "set", "n", "at", "crowd")
+    pairs = side(few, "a").join(side(few, "b"), "gram").where("a_set < b_set").where(_enough("a_", "b_"))
+    pairs = pairs.withColumns({"told": F.lit(1), "untold": F.least("a_crowd", "b_crowd")})
+    many = met.where(F.col("holders") > most)
+    led = many.select(*[F.col(c).alias(f"b_{c}") for c in ("set", "n", "at")], *[F.col(f"first.{c}").alias(f"a_{c}") for c in ("set", "n", "at")], "crowd")
+    stars = led.where("a_set <> b_set").where(_enough("a_", "b_")).withColumns({"told": F.lit(0), "untold": F.col("crowd")})
+    given = ["a_set", "b_set", "a_n", "b_n", "told", "untold"]
+    edges = similar(_candidates(pairs.select(given).unionByName(stars.select(given))), docs, marked, words)
+    member = materialize(components(edges))
+    if not many.isEmpty():
+        named = many.select("gram", "set", "n", "at").join(member.withColumnRenamed("node", "set"), "set", "left")
+        named = materialize(named.withColumn("component", F.coalesce("component", "set")))
+        apart = named.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("gram")
+        open_ = named.join(apart, "gram", "left_semi")
+        rest = side(open_, "a").join(side(open_, "b"), "gram").where("a_set < b_set and a_component <> b_component").where(_enough("a_", "b_"))
+        # Pairs that also share an uncrowded shingle were candidates above, so all they share is told here.
+        further = similar(_candidates(rest.withColumns({"told": F.lit(1), "untold": F.lit(0)}).select(given)), docs, marked, words)
+        member = materialize(components(edges.unionByName(further)))
+    name = F.coalesce("component", "set")
+    by_set = marked.select("doc_id", "text_hash", "set").join(member.withColumnRenamed("node", "set"), "set", "left").withColumn("component", name)
+    ids = by_set.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return by_set.join(ids, "component").select("doc_id", "component", "component_id", "text_hash")
+
+
 def dedup_stage(docs: DataFrame, **how) -> DataFrame:
-    """One document of each group of ``docs`` stays, all columns kept: the one whose doc_id names the component.
+    """One document of each group of similar ``docs`` stays, all columns kept: the one whose doc_id names the component.
 
     A row without doc_id stays only if no row of its group has one. Rows of one group with equal doc_id are
     told apart by the text's hash, and of fully alike ones one stays.
     """
     name = lambda c: F.coalesce(F.col(c).cast("long").cast("string"), F.lit("-"))
     kept = (
-        near_duplicates(docs, **how)
+        similar_groups(docs, **how)
         .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("component")
         .agg(F.min(F.struct(name("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))).alias("kept"))

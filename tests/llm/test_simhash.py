@@ -1,11 +1,15 @@
 import random
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from siltstone.llm import simhash as module
 from siltstone.llm.simhash import components, dedup_stage, hex16, links, near_duplicates, simhash, shingle_hashes
 
+from .conftest import DOCS, prose
+
 
 def brute_fingerprint(text, words):
     found = (text or "").encode().lower().split()
@@ -71,3 +75,28 @@ def test_near_duplicates_and_stage(odd, odd_rows, clashing, none):
     ids = [r["doc_id"] for r in kept.collect()]
     assert kept.columns == clashing.columns and sorted(map(str, ids)) == sorted(map(str, [1, 3, 6, 7, 8, 9, None, 11, 12, 13]))
     assert near_duplicates(none).count() == 0 and dedup_stage(none).count() == 0
+
+
+@pytest.mark.parametrize("most,sample", [(64, 8), (3, 1)])
+def test_stage_keeps_one_of_edited_copies(spark, monkeypatch, most, sample):
+    monkeypatch.setattr(module, "SAMPLE", sample)
+    r, texts, passage = random.Random(3), [], prose(99, 60)
+    for k in range(14):
+        base = prose(200 + k, r.choice([12, 60, 150, 400])).split()
+        texts.append(" ".join(base))
+        for _ in range(r.choice([1, 4, 9])):
+            words = list(base)
+            for _ in range(r.choice([1, 2, 3, 5, 8])):
+                words[r.randrange(len(words))] = f"edit{r.randrange(10**6)}"
+            texts.append(" ".join(words))
+    texts += [prose(300 + i, 40) + " " + passage for i in range(12)] + ["", "one two"]
+    sets = [set(np.unique(shingle_hashes(t.encode(), 5)).tolist()) for t in texts]
+    group = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if sets[a] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and group[a] != group[b]:
+                low, high = sorted((group[a], group[b]))
+                group = [low if g == high else g for g in group]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], DOCS)
+    got = sorted(x["doc_id"] for x in dedup_stage(docs, words=5, most=most).collect())
+    assert got == sorted(set(group)) and len(got) < len(texts) - 12
