@@ -6,8 +6,9 @@ to the parts of the other roles at most ``REACH`` code points away. An identifie
 identifier, an endpoint both.
 
 Defined cases: null text is empty; repeated rows are scanned separately; a null doc_id is kept; an empty table
-gives no rows; further columns do not matter. The interval join meets at most the parts of two neighbouring
-stretches of ``REACH`` code points, so a document with very many parts costs in proportion to them.
+gives no rows; further columns do not matter. The interval join files a part under every stretch of ``REACH`` code
+points that it lies in, and its complements under theirs and the neighbouring ones, so long parts cost in
+proportion to their length.
 """
 
 from __future__ import annotations
@@ -54,15 +55,16 @@ def _found(text: Column, kind: str, pattern: str) -> Column:
 
 def _near(weak: DataFrame, parts: DataFrame, role: str) -> DataFrame:
     """Those of ``weak`` that have a part of ``role`` at most REACH code points away in their document."""
-    stretch = F.explode(F.sequence(F.floor((F.col("start") - REACH) / REACH), F.floor((F.col("end") + REACH) / REACH)))
+    over = lambda a, b: F.explode(F.sequence(F.floor(a / REACH), F.floor(b / REACH))).alias("stretch")
     other = parts.where(F.col("role") == role).select(
-        F.col("row"), stretch.alias("stretch"), F.col("start").alias("other_start"), F.col("end").alias("other_end")
+        "row", over(F.col("start") - REACH, F.col("end") + REACH), F.col("start").alias("other_start"), F.col("end").alias("other_end")
     )
-    here = weak.withColumn("stretch", F.floor(F.col("start") / REACH))
+    # A long part lies in several stretches: each is looked up, and the part counts once.
+    here = weak.select("*", over(F.col("start"), F.col("end")))
     apart = F.greatest("start", "other_start") - F.least("end", "other_end")
     return here.alias("w").join(
         other.alias("o"), (F.col("w.row") == F.col("o.row")) & (F.col("w.stretch") == F.col("o.stretch")) & (apart <= REACH), "left_semi"
-    ).drop("stretch")
+    ).drop("stretch").distinct()
 
 
 def parts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,7 +1,8 @@
 import hashlib
+import random
 import re
 
-from siltstone.llm.secrets import scan
+from siltstone.llm.secrets import REACH, link, scan
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 TEXTS = [
@@ -42,3 +43,18 @@ def test_base_and_linked_spans(spark):
 
 def test_empty(spark, none):
     assert scan(none).count() == 0
+
+
+def test_long_parts_link_as_by_brute_force(spark):
+    r = random.Random(4)
+    roles = {"identifier": ("secret",), "secret": ("identifier",), "endpoint": ("identifier", "secret")}
+    rows = [(0, "endpoint", 5, "endpoint", False, 0, 900), (0, "access", 1, "identifier", True, 950, 970), (0, "hex", 2, "secret", True, 1000, 1030)]
+    for row in range(1, 150):
+        for _ in range(r.randrange(2, 5)):
+            role, start = r.choice(sorted(roles)), r.randrange(4000)
+            rows.append((row, role, 3 + ["identifier", "secret", "endpoint"].index(role), role, False, start, start + r.choice([10, 100, 400, 1000, 2500])))
+    near = lambda a, b: a[0] == b[0] and max(a[5], b[5]) - min(a[6], b[6]) <= REACH
+    want = {a for a in rows if a[4] or all(any(b[3] == role and near(a, b) for b in rows) for role in roles[a[3]])}
+    found = spark.createDataFrame(rows, "row long, kind string, order int, role string, base boolean, start long, end long").distinct()
+    got = [tuple(x) for x in link(found.select("row", "kind", "order", "role", "base", "start", "end")).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and rows[0] in want
