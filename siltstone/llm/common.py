@@ -34,6 +34,20 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def pack(docs: DataFrame) -> DataFrame:
+    """All columns of ``docs`` in the one column ``whole``: helper columns beside it cannot clash with any, however named.
+
+    ``select("whole.*")`` brings them back under their own names.
+    """
+    return docs.select(F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]).alias("whole"))
+
+
+def tie_break(docs: DataFrame) -> Column:
+    """Of packed rows: a hash over all columns but the text, the same in every run."""
+    rest = [c for c in docs.columns if c.lower() != "text"]
+    return F.xxhash64(F.to_json(F.struct(*[F.col(f"whole.`{c.replace('`', '``')}`") for c in rest])))
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(text, UPPER, LOWER)

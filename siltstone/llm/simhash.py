@@ -1,16 +1,18 @@
 """SimHash near-duplicates by pivot distance tables.
 
 A document's fingerprint has 64 bits, each set if it is set in over half the XXH64 hashes of its word
-shingles. The distance table holds, for every distinct fingerprint, its Hamming distances to many reference
-fingerprints, each reference being compared on one quarter of the bits. If two fingerprints differ in at most
-two bits, at least two quarters agree and with them all distances to those quarters' references: these are
-the join keys. Pairs that meet are discarded if any coordinate differs by more than the radius, and the
-survivors are verified bit by bit. A key that more than ``most`` fingerprints share is not paired at all: its
-members are linked through the one-bit neighbours that they share, which finds the same links in linear space.
+shingles. The distance table holds, for every distinct fingerprint, its Hamming distances to many reference fingerprints, each
+compared on one segment of the bits. The 64 bits are four segments; if two fingerprints differ in at most two
+bits, at least two segments agree and with them all distances to those segments' references: these are the
+join keys. A key that more than ``most`` fingerprints share goes through the same step again: its two open
+segments are cut into four, whose references tell its members apart further, down to segments of two bits,
+where a key has sixteen members at most. Pairs that meet in a key are discarded if any coordinate differs by
+more than the radius, and the survivors are verified bit by bit. All links are verified pairs, none is missed, and
+no key ever emits more than ``most`` pairs a member.
 
 Defined cases: null and empty texts have the fingerprint zero and are linked like any other; fewer words than
 a shingle are one shingle; repeated rows share a component; a null doc_id never is a component's name unless
-all its rows have null; empty tables give empty results; further columns do not matter.
+all its rows have null; empty tables give empty results; further columns do not matter, whatever their names.
 
 The pipeline's stage (``dedup_stage``) asks for shingle sets of Jaccard similarity 0.8 or more. At that similarity
 fingerprints differ in some ten bits, which no key on bits finds surely, so the stage joins the sets themselves, by
@@ -29,10 +31,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from siltstone.llm.common import materialize, small
+from siltstone.llm.common import materialize, pack, small, tie_break
 
-QUARTERS, QUARTER_BITS, REFERENCES = 4, 16, 8
+SEGMENTS, SEGMENT_BITS, REFERENCES = 4, 16, 8
 RADIUS = 2
+#: Members from which a key is cut by finer references; a setting of speed, links do not depend on it.
 MOST = 64
 #: Shingles that several texts of one in SAMPLE hold come last in the order of the prefixes; at most COMMON of them.
 SAMPLE, COMMON = 8, 200_000
@@ -56,8 +59,8 @@ def shingle_hashes(text: bytes, words: int) -> np.ndarray:
 def simhash(hashes: np.ndarray) -> int:
     """64-bit majority of ``hashes``; a tie leaves the bit at zero."""
     ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        part = hashes[at : at + (1 << 16)].astype("<u8")
+    for at in range(0, len(hashes), 1 << 14):
+        part = hashes[at : at + (1 << 14)].astype("<u8")
         ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0]) if len(hashes) else 0
 
@@ -70,82 +73,103 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
             values = [simhash(shingle_hashes((t.as_py() or "").encode(), words)) for t in batch.column(1)]
             found = pa.array(np.array(values, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), found], ["doc_id", "text_hash", "fp"])
+            pa.default_memory_pool().release_unused()
 
-    marked = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
+    marked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64("text").alias("text_hash"))
     return marked.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
-def references(seed: int = 20_240_501) -> list[list[int]]:
-    """REFERENCES reference values for each quarter of the bits."""
-    draw = np.random.default_rng(seed)
-    return [[int(x) for x in draw.choice(1 << QUARTER_BITS, REFERENCES, replace=False)] for _ in range(QUARTERS)]
+def references(width: int, seed: int = 20_240_501) -> list[int]:
+    """Reference values of a segment of ``width`` bits: random ones for the widest, else the single bits and zero, which tell all values apart."""
+    if width == SEGMENT_BITS:
+        return [int(x) for x in np.random.default_rng(seed).choice(1 << width, REFERENCES, replace=False)]
+    return [0, *[1 << i for i in range(width - 1)]]
+
+
+def coordinates(width: int, at: Column | str, fp: str = "fp") -> Column:
+    """Distances of the segment of ``width`` bits at bit ``at`` to its references, a byte each in one long."""
+    bits = F.call_function("shiftrightunsigned", F.col(fp), F.col(at) if isinstance(at, str) else at).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
+    out = F.lit(0).cast("long")
+    for k, value in enumerate(references(width)):
+        out = out.bitwiseOR(F.shiftleft(F.bit_count(bits.bitwiseXOR(F.lit(value).cast("long"))).cast("long"), 8 * k))
+    return out
 
 
 def distance_table(distinct: DataFrame) -> DataFrame:
-    """fp and its distances to all references, one column d<quarter>_<reference> each."""
-    columns = {}
-    for quarter, values in enumerate(references()):
-        bits = F.shiftrightunsigned("fp", quarter * QUARTER_BITS).bitwiseAND(F.lit((1 << QUARTER_BITS) - 1))
-        for k, value in enumerate(values):
-            columns[f"d{quarter}_{k}"] = F.bit_count(bits.bitwiseXOR(F.lit(value))).cast("byte")
-    return distinct.withColumns(columns)
+    """fp and its coordinates: the distances to the eight references of each segment, packed in the longs q0 to q3."""
+    return distinct.select("fp", *[coordinates(SEGMENT_BITS, F.lit(q * SEGMENT_BITS)).alias(f"q{q}") for q in range(SEGMENTS)])
 
 
-def _packed(quarter: int, side: str = "") -> Column:
-    """The coordinates of one quarter in one long."""
-    out = F.lit(0).cast("long")
-    for k in range(REFERENCES):
-        out = out.bitwiseOR(F.shiftleft(F.col(f"{side}d{quarter}_{k}").cast("long"), 8 * k))
-    return out
+_COORDINATES = [f"q{q}" for q in range(SEGMENTS)]
+_PLACES = ["f1", "f2", "o1", "o2"]
 
 
 def _keys(table: DataFrame) -> DataFrame:
-    """Six rows a fingerprint: the coordinates of each two quarters, with the whole table row."""
-    quarters = [_packed(q) for q in range(QUARTERS)]
-    packed = table.select("fp", *[c.alias(f"q{q}") for q, c in enumerate(quarters)])
-    pairs = [(a, b) for a in range(QUARTERS) for b in range(a + 1, QUARTERS)]
-    keys = [F.struct(F.lit(i).alias("which"), F.col(f"q{a}").alias("k1"), F.col(f"q{b}").alias("k2")) for i, (a, b) in enumerate(pairs)]
-    return packed.select("fp", *[f"q{q}" for q in range(QUARTERS)], F.explode(F.array(*keys)).alias("key")).select("fp", *[f"q{q}" for q in range(QUARTERS)], "key.*")
+    """Six rows a fingerprint: the key of each two segments; f1, f2 are where these begin, o1, o2 the open ones."""
+    rows = []
+    for a in range(SEGMENTS):
+        for b in range(a + 1, SEGMENTS):
+            open_ = [q * SEGMENT_BITS for q in range(SEGMENTS) if q not in (a, b)]
+            places = [F.lit(x).alias(n) for x, n in zip((a * SEGMENT_BITS, b * SEGMENT_BITS, *open_), _PLACES, strict=True)]
+            rows.append(F.struct(F.xxhash64(F.lit(a), F.lit(b), F.col(f"q{a}"), F.col(f"q{b}")).alias("key"), *places))
+    return table.select("fp", *_COORDINATES, F.explode(F.array(*rows)).alias("x")).select("fp", *_COORDINATES, "x.*")
+
+
+def _finer(crowded: DataFrame, width: int) -> DataFrame:
+    """Keys of the crowded rows by segments of ``width`` bits: the open ones in fours, two of which agree, and the settled ones read again."""
+    settled = [coordinates(width, F.col(f) + d) for f in ("f1", "f2") for d in (0, width)]
+    parts = [F.col(o) + d for o in ("o1", "o2") for d in (0, width)]
+    rows = []
+    for a in range(SEGMENTS):
+        for b in range(a + 1, SEGMENTS):
+            open_ = [p for q, p in enumerate(parts) if q not in (a, b)]
+            key = F.xxhash64("key", F.lit(a), F.lit(b), "known", coordinates(width, parts[a]), coordinates(width, parts[b]))
+            rows.append(F.struct(key.alias("key"), *[x.alias(n) for x, n in zip((parts[a], parts[b], *open_), _PLACES, strict=True)]))
+    known = crowded.withColumn("known", F.xxhash64(*settled))
+    return known.select("fp", *_COORDINATES, F.explode(F.array(*rows)).alias("x")).select("fp", *_COORDINATES, "x.*")
 
 
 def _within(radius: int) -> Column:
     """No coordinate of the two table rows a and b differs by more than ``radius``."""
     apart = []
-    for q in range(QUARTERS):
+    for q in _COORDINATES:
         for k in range(REFERENCES):
-            coordinate = lambda side: F.shiftrightunsigned(F.col(f"{side}q{q}"), 8 * k).bitwiseAND(F.lit(255))  # noqa: B023, E731
+            coordinate = lambda side: F.shiftrightunsigned(F.col(f"{side}{q}"), 8 * k).bitwiseAND(F.lit(255))  # noqa: B023, E731
             apart.append(F.abs(coordinate("a_") - coordinate("b_")))
     return F.greatest(*apart) <= F.lit(radius)
 
 
-def links(distinct: DataFrame, radius: int = RADIUS, most: int = MOST) -> DataFrame:
-    """Edges (src, dst) whose connected components are those of all pairs of ``distinct`` within ``radius`` bits.
-
-    Pairs within a bucket are verified ones; the members of larger buckets are linked to their common
-    one-bit neighbours' smallest member.
-    """
-    if radius != 2:
-        raise ValueError("the quarters and the one-bit neighbours are made for a radius of 2")
-    keys = materialize(_keys(distance_table(distinct)))
-    key = ["which", "k1", "k2"]
-    sizes = keys.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
-    met = materialize(keys.join(sizes, key))
-    columns = ["fp", *[f"q{q}" for q in range(QUARTERS)]]
-    side = lambda s: met.where(F.col("n") <= most).select(*key, *[F.col(c).alias(f"{s}_{c}") for c in columns])
-    pairs = (
-        side("a")
-        .join(side("b"), key)
-        .where(F.col("a_fp") < F.col("b_fp"))
-        .where(_within(radius))
+def _met(keys: DataFrame, radius: int) -> DataFrame:
+    """The verified pairs (src, dst) of the rows that share a key."""
+    side = lambda s: keys.select("key", *[F.col(c).alias(f"{s}_{c}") for c in ("fp", *_COORDINATES)])
+    return (
+        side("a").join(side("b"), "key")
+        .where(F.col("a_fp") < F.col("b_fp")).where(_within(radius))
         .where(F.bit_count(F.col("a_fp").bitwiseXOR(F.col("b_fp"))) <= radius)
         .select(F.col("a_fp").alias("src"), F.col("b_fp").alias("dst"))
-    )
-    crowded = met.where(F.col("n") > most).select("fp").distinct()
-    near = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit((1 << b) - (1 << 64 if b == 63 else 0))) for b in range(64)])
-    balls = crowded.select("fp", F.explode(near).alias("ball"))
-    centres = balls.groupBy("ball").agg(F.min("fp").alias("src"), F.count("*").alias("n")).where("n > 1")
-    stars = balls.join(centres, "ball").where("fp <> src").select("src", F.col("fp").alias("dst"))
-    return pairs.unionByName(stars).distinct()
+    )
+
+
+def links(distinct: DataFrame, radius: int = RADIUS, most: int = MOST) -> DataFrame:
+    """All pairs (src, dst) of the distinct fingerprints that differ in ``radius`` bits or fewer."""
+    if not 0 <= radius <= 2:
+        raise ValueError("two of four segments agree up to a radius of 2 only")
+    keys, width, found = _keys(distance_table(distinct)), SEGMENT_BITS, []
+    while True:
+        sizes = materialize(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+        width //= 2
+        last = width < 2
+        few = keys.join(sizes if last else sizes.where(F.col("n") <= most), "key", "left_semi")
+        found.append(materialize(_met(materialize(few), radius)))
+        crowded = sizes.where(F.col("n") > most).select("key")
+        if last or crowded.isEmpty():
+            break
+        # Keys of over ``most`` rows each: rows stay where they are if these are few enough to be sent to them.
+        keys = materialize(_finer(keys.join(small(crowded), "key", "left_semi"), width))
+    pairs = found[0]
+    for more in found[1:]:
+        pairs = pairs.unionByName(more)
+    return pairs.distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -344,15 +368,16 @@ def dedup_stage(docs: DataFrame, **how) -> DataFrame:
     """One document of each group of similar ``docs`` stays, all columns kept: the one whose doc_id names the component.
 
     A row without doc_id stays only if no row of its group has one. Rows of one group with equal doc_id are
-    told apart by the text's hash, and of fully alike ones one stays.
+    told apart by the text's hash, then by their other columns; of fully alike ones one stays.
     """
     name = lambda c: F.coalesce(F.col(c).cast("long").cast("string"), F.lit("-"))
     kept = (
         similar_groups(docs, **how)
         .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("component")
-        .agg(F.min(F.struct(name("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))).alias("kept"))
+        .agg(F.min(F.struct(name("doc_id").alias("id"), F.col("text_hash").alias("hash"))).alias("kept"))
         .select("kept.*")
     )
-    keyed = docs.withColumns({"__id": name("doc_id"), "__hash": F.xxhash64("text")})
-    return keyed.join(kept, ["__id", "__hash"]).dropDuplicates(["__id", "__hash"]).select(*docs.columns)
+    keyed = pack(docs).select(name("whole.doc_id").alias("id"), F.xxhash64("whole.text").alias("hash"), "whole")
+    first = keyed.join(kept, ["id", "hash"]).withColumn("tie", tie_break(docs))
+    return first.groupBy("id", "hash").agg(F.min_by("whole", "tie").alias("whole")).select("whole.*")

@@ -35,8 +35,9 @@ def clashing(odd):
     """The same rows with further columns named as operators name theirs."""
     from pyspark.sql import functions as F
 
-    names = ["size", "shard", "slot", "score", "fp", "key", "row", "rank", "taken", "target", "n", "doc", "block", "curve", "predicted", "host"]
-    return odd.withColumns({c: F.lit(i) for i, c in enumerate(names)})
+    names = ["size", "shard", "slot", "score", "fp", "key", "row", "rank", "taken", "target", "n", "doc", "block", "curve", "predicted", "host",
+             "__id", "__hash", "__size", "__rank", "__part", "__source", "__lang", "__n", "__turn", "__text", "whole", "id", "hash", "tie", "a.b", "c`d", "col", "c0"]
+    return odd.select("*", *[F.lit(i).alias(c) for i, c in enumerate(names)])
 
 
 @pytest.fixture(scope="session")

@@ -100,3 +100,23 @@ def test_stage_keeps_one_of_edited_copies(spark, monkeypatch, most, sample):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], DOCS)
     got = sorted(x["doc_id"] for x in dedup_stage(docs, words=5, most=most).collect())
     assert got == sorted(set(group)) and len(got) < len(texts) - 12
+
+
+def test_crowd_of_near_copies_is_linked_whole(spark):
+    """Thousands of fingerprints in one key: the same links as brute force, at every cut of the key."""
+    r, base = random.Random(11), 0x0123_4567_89AB_CDEF
+    values = {base}
+    while len(values) < 3000:
+        v = base
+        for _ in range(r.randrange(6)):
+            v ^= 1 << r.randrange(40)
+        values.add(v)
+    values = sorted(values)
+    found = links(spark.createDataFrame([(v,) for v in values], "fp long"))
+    got = {tuple(sorted(x)) for x in found.collect()}
+    array = np.array(values, np.uint64)
+    want = set()
+    for i, v in enumerate(values):
+        near = np.bitwise_count(array[i + 1 :] ^ np.uint64(v)) <= 2
+        want |= {(v, values[i + 1 + int(k)]) for k in np.flatnonzero(near)}
+    assert got == want and len(want) > 10_000
