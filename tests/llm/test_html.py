@@ -1,12 +1,14 @@
 import pytest
 
-from siltstone.llm.html import extract, parse, render
+from siltstone.llm.html import Site, digest, extract, parse, render
 
 PAGES = "page_id long, url string, html string"
 
 
 def text(html):
-    return render(parse(html), set())
+    root = parse(html)
+    digest(root)
+    return render(root)
 
 
 @pytest.mark.parametrize(
@@ -46,7 +48,7 @@ def test_recurring_subtrees_go_by_host(spark):
 
 def test_mirrored_articles_stay_whole(spark):
     rows = [(i, f"http://m.example/{i}", "<article><h1>Same</h1><p>Same text</p></article><div><p>Ad space</p></div>") for i in range(12)]
-    pages = spark.createDataFrame(rows + rows[:2], PAGES).selectExpr("*", "1 AS host", "2 AS digests", "3 AS text")
+    pages = spark.createDataFrame(rows + rows[:2], PAGES).selectExpr("*", "1 AS host", "2 AS templates", "3 AS text", "4 AS `a.b`")
     got = extract(pages).collect()
     assert len(got) == 14 and {r["text"] for r in got} == {"Same\n\nSame text"}
     assert extract(pages.limit(0)).count() == 0
@@ -56,3 +58,52 @@ def test_long_page(spark):
     html = "<article>" + "".join(f"<p>line {i}</p>" for i in range(20000)) + "</article>"
     got = extract(spark.createDataFrame([(1, "http://x/", html)], PAGES)).first()
     assert got["text"].count("\n\n") == 19999 and got["text"].endswith("line 19999")
+
+
+def words(seed, n):
+    import random
+
+    r = random.Random(seed)
+    return " ".join(f"word{r.randrange(5000)}" for _ in range(n))
+
+
+def varied(i, host, wrap="article"):
+    """A page whose menu, banner and footer hold other words on each page, as its article does."""
+    article = f"<{wrap}><h1>{words(i, 4)}</h1><p>{words(i + 1, 60)}</p><div><p>Rate this page now</p></div><p>{words(i + 2, 40)}</p></{wrap.split()[0]}>"
+    menu = "".join(f"<li><a href=/{k}>{words(i * 7 + k, 1)}</a></li>" for k in range(5))
+    page = f"<html><body><div id=m><ul>{menu}</ul></div><div class=top><span>{words(i + 3, 8)}</span></div>{article}<div id=foot{i}>{words(i + 4, 6)}</div></body></html>"
+    return (i, f"http://{host}/{i}", page), f"{words(i, 4)}\n\n{words(i + 1, 60)}\n\n{words(i + 2, 40)}"
+
+
+@pytest.mark.parametrize("wrap", ["article", "div class=content", "main"])
+def test_templates_decide(spark, wrap):
+    """Slots go by place and content by recurrence; without what was counted every page would keep them."""
+    rows, want = zip(*[varied(i * 10, "v.example", wrap) for i in range(30)], strict=True)
+    got = {r["page_id"]: r["text"] for r in extract(spark.createDataFrame(list(rows), PAGES)).collect()}
+    assert [got[r[0]] for r in rows] == list(want)
+    for _, _, html in rows:
+        root = parse(html)
+        digest(root)
+        plain = render(root, Site())
+        assert plain not in want and "Rate this page now" in plain
+
+
+def test_host_with_few_pages_is_read_by_names(spark):
+    rows = [varied(i * 10, "few.example")[0] for i in range(3)] + [(99, "http://few.example/x", "<nav>n</nav><p>a</p><footer>f</footer>")]
+    got = {r["page_id"]: r["text"] for r in extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got[99] == "a" and got[0].count("Rate this page now") == 1
+
+
+@pytest.mark.parametrize("html", [
+    "<b>" * 20_000 + "</i>" * 20_000, "<p>" + "<b>" * 20_000 + "<div></div>" * 20_000, "<li><ul>" + "<b>" * 20_000 + "<li>" * 20_000, "<table>" * 5_000 + "<td>" * 20_000,
+    "<div>" * 30_000 + "x", "<a href='" * 20_000, "<!--" * 50_000, "<title>" * 30_000, "<" * 100_000, "<p><button>" + "<i>" * 20_000 + "<p></p>" * 20_000,
+])
+def test_deep_and_broken_pages_take_linear_time(html):
+    import time
+
+    began = time.process_time()
+    root = parse(html)
+    digest(root)
+    render(root)
+    render(root, Site())
+    assert time.process_time() - began < 8
