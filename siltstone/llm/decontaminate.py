@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from siltstone.llm.common import ascii_lower, materialize, ranked, small
+from siltstone.llm.common import ascii_lower, materialize, pack, ranked, small
 
 TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
@@ -136,6 +136,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 def decontaminate_stage(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Rows of ``docs`` without any exact window of an item, all columns kept; rows alike in doc_id and text share their fate."""
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))
-    hit = contamination(docs, items, window).where("contaminated").select(name.alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    keyed = docs.withColumns({"__id": name, "__hash": F.xxhash64("text")})
-    return keyed.join(small(materialize(hit), CANDIDATE_ROWS), ["__id", "__hash"], "left_anti").select(*docs.columns)
+    # Two longs for both names: what may be broadcast has a fixed width.
+    keys = lambda id_, hash_: [F.xxhash64(F.lit(k), id_, hash_).alias(f"k{k}") for k in (1, 2)]
+    hit = contamination(docs, items, window).where("contaminated").select(*keys(name, F.col("text_hash"))).distinct()
+    keyed = pack(docs).select("whole", *keys(F.coalesce(F.col("whole.doc_id").cast("string"), F.lit("-")), F.xxhash64("whole.text")))
+    return keyed.join(small(materialize(hit), CANDIDATE_ROWS), ["k1", "k2"], "left_anti").select("whole.*")

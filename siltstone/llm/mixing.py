@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from siltstone.llm.common import WORD, materialize, small
+from siltstone.llm.common import WORD, materialize, pack, small, tie_break
 
 WEIGHTS = (5, 2, 1)
 #: Seeded hash buckets within a length, so that no length is ranked in one task.
@@ -161,31 +161,35 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.5,
 def mix_stage(docs: DataFrame, **how) -> DataFrame:
     """Rows of ``docs`` as often as the mix takes them: none, one or two times, all columns kept.
 
-    Rows are matched by doc_id, source and size; among rows alike in these, those taken once more come first.
+    Rows are matched by doc_id, source and size; among rows alike in these, those taken once more come first by the
+    hash of the text, then of the other columns.
     """
-    key = ["__id", "__source", "__size"]
-    keyed = docs.withColumns({
-        "__id": F.coalesce(F.col("doc_id").cast("string"), F.lit("-")),
-        "__source": F.coalesce(F.concat(F.lit("+"), F.col("source").cast("string")), F.lit("-")),
-        "__size": F.greatest(F.coalesce(F.size(F.regexp_extract_all("text", F.lit(WORD), 0)), F.lit(0)), F.lit(0)).cast("long"),
-    })
+    key = ["id", "from", "size"]
+    text = F.col("whole.text")
+    keyed = pack(docs).select(
+        F.coalesce(F.col("whole.doc_id").cast("string"), F.lit("-")).alias("id"),
+        F.coalesce(F.concat(F.lit("+"), F.col("whole.source").cast("string")), F.lit("-")).alias("from"),
+        F.greatest(F.coalesce(F.size(F.regexp_extract_all(text, F.lit(WORD), 0)), F.lit(0)), F.lit(0)).cast("long").alias("size"),
+        F.xxhash64(text).alias("hash"), "whole",
+    )
     taken = (
         mix(docs, **how)
         .select(
-            F.coalesce(F.col("doc_id").cast("string"), F.lit("-")).alias("__id"),
-            F.coalesce(F.concat(F.lit("+"), F.col("source")), F.lit("-")).alias("__source"),
-            F.col("size").alias("__size"),
-            F.coalesce(F.try_divide("taken", "size"), F.lit(0)).cast("int").alias("__n"),
+            F.coalesce(F.col("doc_id").cast("string"), F.lit("-")).alias("id"),
+            F.coalesce(F.concat(F.lit("+"), F.col("source")), F.lit("-")).alias("from"),
+            "size",
+            F.coalesce(F.try_divide("taken", "size"), F.lit(0)).cast("int").alias("n"),
         )
         .groupBy(*key)
-        .agg(F.sum("__n").alias("__sum"), F.count("*").alias("__rows"))
+        .agg(F.sum("n").alias("sum"), F.count("*").alias("rows"))
     )
-    turn = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))
+    turn = F.row_number().over(Window.partitionBy(*key).orderBy("hash", "tie"))
     return (
-        keyed.withColumn("__turn", turn)
+        keyed.withColumn("tie", tie_break(docs))
+        .withColumn("turn", turn)
         .join(taken, key)
-        .withColumn("__n", F.floor(F.col("__sum") / F.col("__rows")) + (F.col("__turn") <= F.col("__sum") % F.col("__rows")).cast("int"))
-        .where("__n > 0")
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))))
-        .select(*docs.columns)
+        .withColumn("n", F.floor(F.col("sum") / F.col("rows")) + (F.col("turn") <= F.col("sum") % F.col("rows")).cast("int"))
+        .where("n > 0")
+        .select("whole", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy"))
+        .select("whole.*")
     )

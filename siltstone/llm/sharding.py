@@ -5,8 +5,8 @@ rows are cut into runs of equal row count. A run covers few neighbouring cells,
 ranges in every dimension and a filter on any of them skips most files.
 
 Defined cases: null metadata goes to level 0; null text has no bytes and the CRC of the empty text; rows of
-one cell are ordered by text CRC, so equal texts with equal metadata are neighbours, then by doc_id; repeated
-rows are separate rows; an empty table has no shards; other columns are kept by the stage, whatever their names.
+one cell are ordered by text CRC, so equal texts with equal metadata are neighbours, then by doc_id and a hash of the
+other columns; repeated rows are separate rows; an empty table has no shards; other columns are kept by the stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from siltstone.llm.common import materialize, ranked, small
+from siltstone.llm.common import materialize, pack, ranked, small, tie_break
 
 SHARDS = 24
 BITS = 5
@@ -68,12 +68,12 @@ def _log_level(value: Column, bits: int, most: float = 24.0) -> Column:
 
 
 def curve(docs: DataFrame, bits: int = BITS) -> DataFrame:
-    """``docs`` with __size, __crc, __curve (Hilbert index over source, lang and text size) and __tie added."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.withColumns({
-        "__source": F.col("source").cast("string"), "__lang": F.col("lang").cast("string"),
-        "__size": (F.octet_length(text) + 8).cast("long"), "__crc": F.crc32(text), "__tie": F.monotonically_increasing_id(),
-    })
+    """The packed rows (``whole``) of ``docs`` with __size, __crc, __curve (Hilbert index over source, lang and text size) and __tie."""
+    text = F.coalesce(F.col("whole.text").cast("string"), F.lit(""))
+    rows = pack(docs).select(
+        "whole", F.col("whole.source").cast("string").alias("__source"), F.col("whole.lang").cast("string").alias("__lang"),
+        (F.octet_length(text) + 8).cast("long").alias("__size"), F.crc32(text.cast("binary")).alias("__crc"), tie_break(docs).alias("__tie"),
+    )
     names = materialize(rows.groupBy("__source", "__lang").agg(F.count("*").alias("n")))
 
     @F.pandas_udf("long")
@@ -92,7 +92,7 @@ def curve(docs: DataFrame, bits: int = BITS) -> DataFrame:
 
 def _placed(rows: DataFrame, shards: int) -> DataFrame:
     """``rows`` of curve() with shard and slot: runs of the sorted rows, as long as one another but for one row."""
-    rows = ranked(rows, "__curve", "__crc", "doc_id", "__tie", name="__rank")
+    rows = ranked(rows, "__curve", "__crc", "whole.doc_id", "__tie", name="__rank")
     n = rows.count()
     return rows.withColumn("shard", F.expr(f"cast((__rank * {shards}L) div {max(n, 1)}L as int)")).withColumn(
         "slot", F.expr(f"__rank - (shard * {n}L + {shards - 1}L) div {shards}L")
@@ -101,17 +101,18 @@ def _placed(rows: DataFrame, shards: int) -> DataFrame:
 
 def shard(docs: DataFrame, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
     """Law ``rows``: size, text CRC, shard and slot of every row; the shards' row counts differ by one at most."""
-    narrow = curve(docs.select("doc_id", "text", "source", "lang"), bits).drop("text")
+    narrow = curve(docs.select("doc_id", "text", "source", "lang"), bits)
+    narrow = narrow.withColumn("whole", F.col("whole").dropFields("text"))
     return _placed(narrow, shards).select(
-        "doc_id", F.col("__size").alias("size"), F.col("__crc").alias("text_crc32"), F.lit("rows").alias("law"),
-        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), F.col("__curve").alias("curve"), "source", "lang",
+        "whole.doc_id", F.col("__size").alias("size"), F.col("__crc").alias("text_crc32"), F.lit("rows").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), F.col("__curve").alias("curve"), "whole.source", "whole.lang",
     )
 
 
 def shard_stage(docs: DataFrame, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
     """``docs`` with the columns shard and slot; columns of these names that were there before are replaced."""
-    kept = [c for c in docs.columns if c not in ("shard", "slot")]
-    return _placed(curve(docs.select(*kept), bits), shards).select(*kept, "shard", "slot")
+    kept = docs.select(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns if c.lower() not in ("shard", "slot")])
+    return _placed(curve(kept, bits), shards).select("whole.*", "shard", "slot")
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

@@ -22,6 +22,7 @@ from dataclasses import dataclass, field
 from math import sqrt
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -198,24 +199,15 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, rows:
     return found
 
 
-def score(docs: DataFrame, found: Classifier) -> DataFrame:
-    """``docs`` (all columns) with score, the likelihood that a label says toxic, and predicted."""
+def score(docs: DataFrame, found: Classifier) -> Column:
+    """The likelihood that a label says toxic, as a column of ``docs``; only the text goes through Python."""
 
-    columns = docs.columns
+    @F.pandas_udf("double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(found.scores(found.features([(x or "").encode() for x in texts])))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = found.scores(found.features([(x.as_py() or "").encode() for x in batch.column(batch.num_columns - 1)]))
-            kept = [batch.column(i) for i in range(batch.num_columns - 1)]
-            names = [f"c{i}" for i in range(len(kept))]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(values), pa.array((values >= 0.5).astype(np.int32))], [*names, "score", "predicted"])
-
-    # Positions, not names: extra columns may be called anything.
-    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)], F.col("text").alias("__text"))
-    from pyspark.sql.types import DoubleType, IntegerType, StructType
-
-    shape = StructType(plain.schema.fields[:-1]).add("score", DoubleType()).add("predicted", IntegerType())
-    return plain.mapInArrow(run, shape).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)], F.col("score").alias("__score"), F.col("predicted").alias("__predicted"))
+    return run(F.col("text").cast("string"))
 
 
 def fold(id_: Column, parts: int) -> Column:
@@ -227,10 +219,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Data
     """doc_id, held_out, score and predicted of every row; rows of fold 0 of 5 are not learnt from."""
     found = train(docs, labels, fold(F.col("doc_id"), 5) != 0, rows)
     held = F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False))
-    return score(docs.select("doc_id", "text"), found).select("doc_id", held.alias("held_out"), F.col("__score").alias("score"), F.col("__predicted").alias("predicted"))
+    scored = docs.select("doc_id", held.alias("held_out"), score(docs, found).alias("score"))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def toxicity_stage(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """Rows of ``docs`` that are not predicted to be toxic, all columns kept."""
     found = train(docs, labels, fold(F.col("doc_id"), 5) != 0, rows)
-    return score(docs, found).where("__predicted = 0").drop("__score", "__predicted")
+    return docs.where(score(docs, found) < 0.5)
