@@ -1,14 +1,19 @@
 """Document fingerprints: a Merkle tree over sections, paragraphs and clauses, in DataFrame functions only.
 
 A text is cut, losing no character, into sections (at blank lines), paragraphs (at line ends) and clauses (at
-white space after punctuation; very short paragraphs and very long clauses at every white space). A clause's node is the SHA-256 of its text, every other node's that of its
-children's. Roots test equality. The fingerprint is the root and the first eight hex digits of every clause's
-node, with / between paragraphs and | between sections: inner nodes follow from full leaves, and where two
-fingerprints' branches differ, the texts were edited.
+white space after punctuation; very short paragraphs and very long clauses at every white space). A clause's node is
+the SHA-256 of its text, every other node's that of its children's. Roots test equality.
 
-Defined cases: null text is the empty text, whose fingerprint has no leaves; rows are ordered by doc_id, null
+A fingerprint is the root, a colon and the sections, with | between them; a section is its node, = and its paragraphs,
+with / between them; a paragraph is its node, a point and the first eight hex digits of each clause's node. Root and
+section nodes can be computed again from the fingerprint, paragraph nodes from their clauses. Two fingerprints are compared from
+the root down: branches with equal nodes are set aside at the highest level at which they are equal, and only what
+differs is opened, down to the clauses, which locates edits. Branches count wherever they stand, so an inserted
+section does not make the ones behind it differ.
+
+Defined cases: null text is the empty text, whose fingerprint has no sections; rows are ordered by doc_id, null
 first, then by the text's hash; rows alike in both count as one document, and each gets its values; the
-only document is its own next one; an empty table gives no rows; further columns do not matter.
+only document is its own next one; an empty table gives no rows; further columns do not matter, whatever their names.
 """
 
 from __future__ import annotations
@@ -44,35 +49,82 @@ def fingerprint(text: Column) -> Column:
         sha(joined(p)).alias("node"), joined(F.transform(p, lambda x: F.substring(x, 1, LEAF))).alias("shown")
     )))
     sections = F.transform(paragraphs, lambda s: F.struct(
-        sha(joined(F.transform(s, lambda p: p["node"]))).alias("node"), F.array_join(F.transform(s, lambda p: p["shown"]), "/").alias("shown")
+        sha(joined(F.transform(s, lambda p: p["node"]))).alias("node"),
+        F.array_join(F.transform(s, lambda p: F.concat(p["node"], F.lit("."), p["shown"])), "/").alias("shown"),
     ))
     # One pass over the tree: the sections are bound once and read twice.
     root = F.transform(F.array(sections), lambda s: F.concat(
-        sha(joined(F.transform(s, lambda x: x["node"]))), F.lit(":"), F.array_join(F.transform(s, lambda x: x["shown"]), "|")
+        sha(joined(F.transform(s, lambda x: x["node"]))), F.lit(":"), F.array_join(F.transform(s, lambda x: F.concat(x["node"], F.lit("="), x["shown"])), "|")
     ))
     return F.element_at(root, 1)
 
 
-def leaves(fp: Column) -> Column:
-    """The distinct clause nodes shown in a fingerprint."""
-    return F.array_distinct(F.regexp_extract_all(F.substring_index(fp, ":", -1), F.lit(f"[0-9a-f]{{{LEAF}}}"), 0))
+def _opened(branches: Column, behind: str, between: str) -> Column:
+    """The children of all ``branches``, as the fingerprint writes them."""
+    return F.flatten(F.transform(branches, lambda x: _cut(F.substring_index(x, behind, -1), between)))
+
+
+def _sections(fp: Column) -> Column:
+    return _cut(F.substring_index(fp, ":", -1), r"\|")
+
+
+#: Cuts the leaves of a paragraph apart.
+_LEAVES = rf"(?<=\G.{{{LEAF}}})"
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Shared share of two leaf arrays: twice the common leaves over all leaves, 1 for two empty ones."""
-    total = F.size(a) + F.size(b)
-    return F.when(total == 0, F.lit(1.0)).otherwise(F.lit(2.0) * F.size(F.array_intersect(a, b)) / F.greatest(total, F.lit(1)))
+    """Share of the leaves of two fingerprints that both have, from the root down: 1 for equal roots, 0 if nothing is shared.
+
+    Sets are met by hash at each level, so the time is in proportion to the fingerprints.
+    """
+    n_leaves = lambda paragraphs: F.aggregate(paragraphs, F.lit(0), lambda n, x: n + F.floor((F.length(x) - 65) / LEAF).cast("int"))
+
+    def of_leaves(shared: Column, x: Column) -> Column:
+        both = F.size(F.array_intersect(x["a"], x["b"]))
+        total = 2 * shared + F.size(x["a"]) + F.size(x["b"])
+        return F.when(total == 0, F.lit(1.0)).otherwise(F.lit(2.0) * (shared + both) / F.greatest(total, F.lit(1)))
+
+    leaves_of = lambda paragraphs: F.array_distinct(_opened(paragraphs, ".", _LEAVES))
+
+    def of_paragraphs(shared: Column, x: Column) -> Column:
+        more = shared + n_leaves(F.array_intersect(x["a"], x["b"]))
+        rest = F.struct(leaves_of(F.array_except(x["a"], x["b"])).alias("a"), leaves_of(F.array_except(x["b"], x["a"])).alias("b"), more.alias("shared"))
+        return _bound(rest, lambda y: of_leaves(y["shared"], y))
+
+    def of_sections(x: Column) -> Column:
+        shared = n_leaves(_opened(F.array_intersect(x["a"], x["b"]), "=", "/"))
+        rest = F.struct(
+            _opened(F.array_except(x["a"], x["b"]), "=", "/").alias("a"), _opened(F.array_except(x["b"], x["a"]), "=", "/").alias("b"), shared.alias("shared")
+        )
+        return _bound(rest, lambda y: of_paragraphs(y["shared"], y))
+
+    below = _bound(F.struct(_sections(a).alias("a"), _sections(b).alias("b")), of_sections)
+    same = F.substring_index(a, ":", 1) == F.substring_index(b, ":", 1)
+    return F.when(same, F.lit(1.0)).otherwise(below)
 
 
 def edited_clauses(a: Column, b: Column) -> Column:
-    """Positions (section, paragraph, clause; from 1) of the leaves of fingerprint ``a`` that ``b`` lacks."""
-    branch = F.split(F.substring_index(a, ":", -1), r"\|")
-    there = leaves(b)
-    rows = F.transform(branch, lambda s, i: F.transform(F.split(s, "/"), lambda p, j: F.transform(
-        F.regexp_extract_all(p, F.lit(f"[0-9a-f]{{{LEAF}}}"), 0),
-        lambda x, k: F.struct((i + 1).alias("section"), (j + 1).alias("paragraph"), (k + 1).alias("clause"), x.alias("leaf")),
-    )))
-    return F.filter(F.flatten(F.flatten(rows)), lambda x: ~F.array_contains(there, x["leaf"]))
+    """Positions (section, paragraph, clause; from 1) of the leaves of fingerprint ``a`` in branches that ``b`` lacks."""
+    theirs = F.struct(_sections(b).alias("sections"), _opened(_sections(b), "=", "/").alias("paragraphs"))
+
+    def found(there: Column) -> Column:
+        leaves = F.array_distinct(_opened(there["paragraphs"], ".", _LEAVES))
+        rows = F.transform(_sections(a), lambda s, i: F.when(~F.array_contains(there["sections"], s), F.transform(
+            _cut(F.substring_index(s, "=", -1), "/"), lambda p, j: F.when(~F.array_contains(there["paragraphs"], p), F.transform(
+                _cut(F.substring_index(p, ".", -1), _LEAVES),
+                lambda x, k: F.struct((i + 1).alias("section"), (j + 1).alias("paragraph"), (k + 1).alias("clause"), x.alias("leaf")),
+            )),
+        )))
+        # Branches that are equal stay closed: they are null here.
+        opened = F.flatten(F.filter(F.flatten(F.filter(rows, lambda s: s.isNotNull())), lambda p: p.isNotNull()))
+        return _bound(leaves, lambda known: F.filter(opened, lambda x: ~F.array_contains(known, x["leaf"])))
+
+    return _bound(theirs, found)
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -83,7 +135,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     """
     key = ["__none", "__id", "__hash"]
     text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.select("doc_id", text.alias("text")).withColumns(
+    keyed = docs.select("doc_id", text.cast("string").alias("text")).withColumns(
         {"__none": F.col("doc_id").isNotNull(), "__id": F.coalesce("doc_id", F.lit(0)).cast("long"), "__hash": F.xxhash64("text")}
     )
     order = ranked(keyed.groupBy(*key).agg(F.max(F.length("text")).alias("__chars")), *key, name="__rank")
@@ -94,7 +146,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     starts = (
         keyed.join(route, key)
         .select(*[F.col(f"{c}_before").alias(c) for c in key], F.col("doc_id").alias("next_doc_id"),
-                F.substring("text", F.lit(1), F.col("__half")).alias("__start"), leaves(fingerprint(F.col("text"))).alias("__next"))
+                F.substring("text", F.lit(1), F.col("__half")).alias("__start"), fingerprint(F.col("text")).alias("__next"))
         .dropDuplicates(key)
     )
     chars = F.length("text")
@@ -102,11 +154,11 @@ def with_next(docs: DataFrame) -> DataFrame:
     edited = F.concat(kept, F.col("__start"))
     return (
         keyed.join(starts, key)
-        .select("doc_id", chars.cast("long").alias("n_chars"), edited.alias("edited"), fingerprint(F.col("text")).alias("fingerprint"), "next_doc_id", "__next")
-        .select("*", F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("edited")).alias("edited_fingerprint"), leaves(F.col("fingerprint")).alias("__own"))
+        .select("doc_id", "text", chars.cast("long").alias("n_chars"), edited.alias("edited"), "__next", "next_doc_id")
+        .select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("text")).alias("fingerprint"), fingerprint(F.col("edited")).alias("edited_fingerprint"), "__next", "next_doc_id")
         .select(
             "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-            likeness(F.col("__own"), leaves(F.col("edited_fingerprint"))).alias("near_edited"),
-            likeness(F.col("__own"), F.col("__next")).alias("near_next"), "next_doc_id",
+            likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+            likeness(F.col("fingerprint"), F.col("__next")).alias("near_next"), "next_doc_id",
         )
     )
