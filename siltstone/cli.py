@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 
 from siltstone import sources
 from siltstone.config import Config
-from siltstone.operators import models, rerank, state
+from siltstone.operators import client, models, rerank, state
 from siltstone.operators.extract import http_extractor
 from siltstone.operators.store import Collection, collections, reconstruct
 from siltstone.plans import evalrun
@@ -25,25 +25,51 @@ def session() -> SparkSession:
 
 def _embedder(config: Config) -> models.Embedder:
     if config.model.url:
-        return models.HttpEmbedder(config.model.url, config.model.embed_model)
+        return models.ServiceEmbedder(client.TextModel(config.model.url, config.model.embed_model))
     return models.HashEmbedder(int(config.model.embed_model.rpartition("-")[2]))
 
 
+def text_model(config: Config, name: str | None = None) -> client.TextModel | None:
+    """The service's model ``name``, or its gate model; None without a service."""
+    return client.TextModel(config.model.url, name or config.model.gate_model) if config.model.url else None
+
+
+def ingest_models(config: Config, contextual: bool = False) -> Models:
+    """What ``config`` names: with a service its models, else the offline ones; a gate needs a service."""
+    model, gate = text_model(config), None
+    if config.gate_enabled:
+        if model is None:
+            raise ValueError("the gate is enabled, but no model service is set (model.url)")
+        gate = client.verdicts(model, config.gate_criteria)
+    context = None
+    if contextual or config.contextual.enabled:
+        context = client.contexts(text_model(config, config.contextual.model)) if model else models.first_sentence
+    return Models(_embedder(config), gate=gate, context=context, binary=http_extractor(config.extract.url) if config.extract.url else None)
+
+
+def search_models(config: Config) -> SearchModels:
+    scorer = rerank.http_scorer(config.rerank.url) if config.rerank.url else rerank.overlap_score
+    if not config.model.url:
+        return SearchModels(_embedder(config), rerank=scorer)
+    return SearchModels(
+        _embedder(config), expand=client.paraphrases(text_model(config, config.multi_query.model)),
+        grade_all=client.grades(text_model(config, config.corrective.model)), rerank=scorer,
+    )
+
+
 def searcher(spark: SparkSession, config: Config) -> Searcher:
     collection = Collection(spark, config.store.path, config.collection)
     points = collection.points()
     if points is None:
         raise SystemExit(f"collection {config.collection!r} is empty")
     stats = load_stats(collection)
-    scorer = rerank.http_scorer(config.rerank.url) if config.rerank.url else rerank.overlap_score
-    return Searcher(points, *(stats or (None, None)), distance=collection.meta()["distance"], parts=SearchModels(_embedder(config), rerank=scorer))
+    return Searcher(points, *(stats or (None, None)), distance=collection.meta()["distance"], parts=search_models(config))
 
 
 def cmd_ingest(spark: SparkSession, config: Config, args: argparse.Namespace) -> int:
     docs = sources.read(spark, args.source, args.path)
     _, kind, fields = sources.SOURCES[args.source]
-    parts = Models(_embedder(config), binary=http_extractor(config.extract.url) if config.extract.url else None, context=models.first_sentence if args.contextual else None)
-    result = ingest(docs, config, kind, parts, fields)
+    result = ingest(docs, config, kind, ingest_models(config, args.contextual), fields)
     print(result.summary())
     for uri in result.error_uris:
         print(f"error: {uri}", file=sys.stderr)
@@ -64,7 +90,9 @@ def cmd_search(spark: SparkSession, config: Config, args: argparse.Namespace) ->
 
 def cmd_eval_gen(spark: SparkSession, config: Config, args: argparse.Namespace) -> int:
     points = Collection(spark, config.store.path, config.collection).points()
-    golden, failed = evalrun.make_golden(reconstruct(points), per_doc=args.per_doc or config.eval.per_doc_n)
+    model = text_model(config, config.eval.gen_model)
+    writer = client.question_writer(model) if model else models.leading_questions
+    golden, failed = evalrun.make_golden(reconstruct(points), writer, per_doc=args.per_doc or config.eval.per_doc_n)
     evalrun.save_golden(golden, args.golden or config.eval.golden_path.format(collection=config.collection))
     print(f"queries={golden.count()} failed={failed.count()}")
     return 0

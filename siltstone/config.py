@@ -86,6 +86,7 @@ class Config:
     multi_query: MultiQuerySettings = field(default_factory=MultiQuerySettings)
     corrective: CorrectiveSettings = field(default_factory=CorrectiveSettings)
     gate_enabled: bool = False
+    gate_criteria: str = "keep documents that inform; reject empty, broken and advertising ones."
 
     @classmethod
     def load(cls, path: str = "siltstone.yaml") -> Config:

@@ -13,15 +13,16 @@ GATE_CHARS = 2000
 def route(docs: DataFrame, keep: Column, reason: Column | None = None) -> DataFrame:
     """Adds state (gated, skipped or error) and reason by a boolean verdict; a null verdict is an error."""
     state = F.when(keep.isNull(), F.lit("error")).when(keep, F.lit("gated")).otherwise(F.lit("skipped"))
-    why = F.when(keep.isNull(), F.lit("gate: missing or invalid verdict")).otherwise(F.coalesce(reason if reason is not None else F.lit(None).cast("string"), F.lit("")))
+    said = F.coalesce(reason if reason is not None else F.lit(None).cast("string"), F.lit(""))
+    why = F.when(keep.isNull(), F.concat(F.lit("gate: missing or invalid verdict"), F.when(said != "", F.concat(F.lit(": "), said)).otherwise(F.lit("")))).otherwise(said)
     return docs.withColumns({"state": state, "reason": why})
 
 
 def parse_verdict(reply: Column) -> tuple[Column, Column]:
     """keep (null unless a JSON boolean) and reason of a model reply."""
-    keep = F.get_json_object(reply, "$.keep")
-    is_boolean = reply.rlike(r'"keep"\s*:\s*(true|false)\b')
-    return F.when(is_boolean, keep.cast("boolean")), F.coalesce(F.get_json_object(reply, "$.reason"), F.lit(""))
+    # A typed parse: a string "true", or a verdict inside another string, is none.
+    parsed = F.from_json(reply, "keep boolean, reason string, failed string")
+    return parsed["keep"], F.coalesce(parsed["reason"], parsed["failed"], F.lit(""))
 
 
 def gate(docs: DataFrame, model: Callable[[Column, Column], Column] | None) -> DataFrame:

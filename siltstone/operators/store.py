@@ -1,18 +1,20 @@
 """Collections of points: versioned Parquet snapshots with replacement by source.
 
-Each write makes a new version folder and then moves the pointer, a small file replaced by rename; readers
-resolve the pointer once. Nothing is overwritten in place, so a failed write changes nothing.
+Each write makes a new version folder. A version is there once its writer has committed it, which leaves a mark in the
+folder; readers take the newest one that has the mark. Nothing is overwritten, moved or deleted, so a write that
+fails at any step changes nothing, and of two writers that take one number the second fails.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-POINTER, META = "_CURRENT", "_META.json"
+DONE, META = "_SUCCESS", "_META.json"
 
 
 class DimensionMismatch(ValueError):
@@ -41,14 +43,16 @@ def _read(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def _write(spark: SparkSession, path: str, text: str) -> None:
+def _create(spark: SparkSession, path: str, text: str) -> None:
+    """A new small file, complete as soon as it is there; raises if there is one already."""
     fs, where = _fs(spark, path)
-    _, new = _fs(spark, f"{path}.new")
-    stream = fs.create(new, True)
+    _, new = _fs(spark, f"{path}.{uuid.uuid4().hex}")
+    stream = fs.create(new, False)
     stream.write(bytearray(text.encode()))
     stream.close()
-    fs.delete(where, False)
-    fs.rename(new, where)
+    if fs.exists(where) or not fs.rename(new, where):
+        fs.delete(new, False)
+        raise FileExistsError(path)
 
 
 def replace_by_source(old: DataFrame, new: DataFrame, source: str = "source_uri") -> DataFrame:
@@ -81,14 +85,27 @@ class Collection:
         """Create the collection, or raise if it holds vectors of another size."""
         meta = self.meta()
         if meta is None:
-            _write(self.spark, f"{self.path}/{META}", json.dumps({"dim": dim, "distance": distance, "index_fields": index_fields or {}, "vectors": ["dense", "sparse"]}))
+            _create(self.spark, f"{self.path}/{META}", json.dumps({"dim": dim, "distance": distance, "index_fields": index_fields or {}, "vectors": ["dense", "sparse"]}))
         elif meta.get("vectors") != ["dense", "sparse"]:
             raise DimensionMismatch(f"collection {self.name!r} has an unnamed vector; make it anew")
         elif meta["dim"] != dim:
             raise DimensionMismatch(f"collection {self.name!r} holds {meta['dim']} dimensions, not {dim}")
 
+    def _numbers(self, complete: bool) -> list[int]:
+        fs, where = _fs(self.spark, self.path)
+        names = [x.getPath() for x in fs.listStatus(where) if x.isDirectory()] if fs.exists(where) else []
+        there = lambda p: fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, DONE))
+        return [int(p.getName()[2:]) for p in names if p.getName().startswith("v=") and (not complete or there(p))]
+
     def version(self) -> int:
-        return int(_read(self.spark, f"{self.path}/{POINTER}") or 0)
+        """The newest complete version; 0 if there is none."""
+        return max(self._numbers(True), default=0)
+
+    def _store(self, whole: DataFrame) -> int:
+        """Write ``whole`` as the next version; folders of failed writes keep their numbers."""
+        n = max(self._numbers(False), default=0) + 1
+        whole.write.mode("errorifexists").parquet(f"{self.path}/v={n}")
+        return n
 
     def points(self) -> DataFrame | None:
         """All points, or None if nothing was stored yet; columns that are not asked for are not read."""
@@ -97,28 +114,18 @@ class Collection:
 
     def replace(self, new: DataFrame) -> int:
         """Store ``new`` in place of all points of its sources; the new version's number."""
-        old, n = self.points(), self.version() + 1
-        whole = replace_by_source(old, new) if old is not None else new
-        whole.write.mode("overwrite").parquet(f"{self.path}/v={n}")
-        _write(self.spark, f"{self.path}/{POINTER}", str(n))
-        return n
+        old = self.points()
+        return self._store(replace_by_source(old, new) if old is not None else new)
 
     def delete(self, uris: DataFrame) -> int:
         """Drop the points of the sources in ``uris`` (source_uri)."""
-        old, n = self.points(), self.version() + 1
-        if old is None:
-            return 0
-        old.join(uris.select("source_uri").distinct(), "source_uri", "left_anti").write.mode("overwrite").parquet(f"{self.path}/v={n}")
-        _write(self.spark, f"{self.path}/{POINTER}", str(n))
-        return n
+        old = self.points()
+        return self._store(old.join(uris.select("source_uri").distinct(), "source_uri", "left_anti")) if old is not None else 0
 
     def upsert(self, new: DataFrame) -> int:
         """Replace points of equal id only."""
-        old, n = self.points(), self.version() + 1
-        whole = replace_by_source(old, new, "chunk_id") if old is not None else new
-        whole.write.mode("overwrite").parquet(f"{self.path}/v={n}")
-        _write(self.spark, f"{self.path}/{POINTER}", str(n))
-        return n
+        old = self.points()
+        return self._store(replace_by_source(old, new, "chunk_id") if old is not None else new)
 
 
 def collections(spark: SparkSession, root: str) -> list[str]:

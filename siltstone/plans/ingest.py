@@ -74,7 +74,9 @@ def ingest(docs: DataFrame, config: Config, source_type: str = "document", parts
     state = lambda name: F.lit(name).alias("state")
 
     extracted = scratch(spark, extract(last_of_each(docs), parts.binary).drop("raw_bytes"))
-    judged = gate(extracted.where("state = 'extracted'").drop("state", "error"), parts.gate if config.gate_enabled or parts.gate else None)
+    if config.gate_enabled and parts.gate is None:
+        raise ValueError("the gate is enabled, but the run has no gate model")
+    judged = gate(extracted.where("state = 'extracted'").drop("state", "error"), parts.gate)
     judged = scratch(spark, judged)
     kept = judged.where("state = 'gated'")
     chunks = chunk(kept, Budget.of(config.chunk.max_tokens, config.chunk.overlap_tokens), keep=("title", "meta"))

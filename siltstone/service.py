@@ -6,7 +6,6 @@ Every answer is an object: {"ok": true, ...} or {"ok": false, "error": ..., "hin
 from __future__ import annotations
 
 import json
-import os
 import sys
 from collections.abc import Callable
 from dataclasses import replace
@@ -17,7 +16,7 @@ from pyspark.sql import SparkSession
 from siltstone import sources
 from siltstone.config import Config
 from siltstone.operators import state
-from siltstone.operators.extract import ALLOWED, confined
+from siltstone.operators.extract import ALLOWED, below, confined
 from siltstone.operators.store import DimensionMismatch, collections
 from siltstone.plans.ingest import ingest
 from siltstone.plans.search import wrapped
@@ -29,15 +28,10 @@ HINTS = {
 }
 
 
-def confined_path(path: str, root: str) -> str:
-    """A file that confined() allows, or a folder below ``root``."""
-    top = os.path.realpath(root)
-    real = os.path.realpath(path if os.path.isabs(path) else os.path.join(top, path))
-    if os.path.isdir(real) and ".." not in path.replace("\\", "/").split("/"):
-        if os.path.commonpath([real, top]) != top:
-            raise PermissionError(f"{real!r} is not below {top!r}")
-        return real
-    return confined(path, root)
+def readable(path: str, root: str) -> str:
+    """A folder below ``root``, or a file that ``confined`` gives."""
+    found = below(path, root)
+    return str(found) if found.is_dir() else confined(path, root)
 
 
 class Service:
@@ -60,9 +54,12 @@ class Service:
         return {"collections": collections(self.spark, self.config.store.path)}
 
     def ingest_path(self, path: str, source: str = "files", collection: str | None = None) -> dict:
-        real = confined_path(path, self.config.extract.allowed_root)
+        from siltstone.cli import ingest_models
+
+        real = readable(path, self.config.extract.allowed_root)
         _, kind, fields = sources.SOURCES[source]
-        result = ingest(sources.read(self.spark, source, real), self._config(collection), kind, None, fields)
+        config = self._config(collection)
+        result = ingest(sources.read(self.spark, source, real), config, kind, ingest_models(config), fields)
         return {"summary": result.summary(), "error_uris": result.error_uris}
 
     def ingest_status(self, collection: str | None = None, limit: int = 20) -> dict:

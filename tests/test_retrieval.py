@@ -144,19 +144,6 @@ def test_expand_and_questions(spark):
     assert models.questions(docs.limit(1), lambda t, n: "x", 2).count() == 0
 
 
-def test_generate_json_contract():
-    sent = {}
-
-    def post(url, body):
-        sent.update(body)
-        return {"response": '{"ok": true}'}
-
-    assert models.generate_json("u", "m", "s", "p", post=post) == {"ok": True}
-    assert sent["think"] is False and sent["format"] == "json" and sent["options"]["num_predict"] <= 1024
-    with pytest.raises(RuntimeError):
-        models.generate_json("u", "m", "s", "p", post=lambda *_: {"response": ""})
-
-
 def test_term_index(spark):
     from hashlib import blake2b
 
