@@ -29,7 +29,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from siltstone.llm.common import materialize, pack, small, tie_break
 
@@ -39,6 +38,8 @@ RADIUS = 2
 MOST = 64
 #: Shingles that several texts of one in SAMPLE hold come last in the order of the prefixes; at most COMMON of them.
 SAMPLE, COMMON = 8, 200_000
+#: Turns of comparing a crowded shingle's sets to one of them, before pairs that are still apart are compared.
+TURNS = 8
 #: Text hashes up to which those of candidates are broadcast.
 SMALL = 500_000
 
@@ -326,38 +327,57 @@ def similar(pairs: DataFrame, docs: DataFrame, marked: DataFrame, words: int) ->
     return materialize(met.mapInArrow(verify, "src long, dst long"))
 
 
-def similar_groups(docs: DataFrame, words: int = 3, most: int = MOST) -> DataFrame:
+def _stars(holders: DataFrame, turn: int) -> DataFrame:
+    """Each holder of a shingle (gram, set, n, at, crowd, component) beside one of them, drawn by hash; holders of its component are left out."""
+    drawn = F.struct(F.xxhash64("gram", "set", F.lit(turn)), *[F.col(c) for c in ("set", "n", "at", "crowd", "component")])
+    first = holders.groupBy("gram").agg(F.min(drawn).alias("x")).select("gram", *[F.col(f"x.{c}").alias(f"a_{c}") for c in ("set", "n", "at", "crowd", "component")])
+    led = holders.select("gram", *[F.col(c).alias(f"b_{c}") for c in ("set", "n", "at", "crowd", "component")]).join(first, "gram")
+    met = led.where((F.col("a_component") != F.col("b_component")) & _enough("a_", "b_"))
+    return met.withColumns({"told": F.lit(0), "untold": F.least("a_crowd", "b_crowd")})
+
+
+def similar_groups(docs: DataFrame, words: int = 3, most: int = MOST, turns: int = TURNS) -> DataFrame:
     """doc_id, component, component_id (its smallest doc_id) and text_hash over links of Jaccard similarity 0.8 or more.
 
-    Of a shingle that more than ``most`` prefixes share, all its sets are compared to one of them first, and
-    then only those to each other that are not in one component yet.
+    Of a shingle that more than ``most`` prefixes share, all its sets are compared to one of them, in each turn to
+    another one drawn by hash, until the pairs of sets that share such a shingle and are not in one component
+    yet are ``most`` a set or fewer, or ``turns`` are over. Then these pairs are compared, so that no link is missed.
     """
     marked = materialize(shingle_prefixes(docs, words, _common(docs, words)))
     one = marked.select("set", "n", "prefix").dropDuplicates(["set"])
-    index = one.select("set", "n", F.posexplode("prefix").alias("at", "gram"))
-    group = Window.partitionBy("gram")
-    sharing = index.withColumn("holders", F.count("*").over(group)).withColumn("first", F.min(F.struct("n", "set", "at")).over(group))
-    crowd = F.count_if(F.col("holders") > most).over(Window.partitionBy("set"))
-    met = materialize(sharing.where("holders > 1").withColumn("crowd", crowd))
+    index = materialize(one.select("set", "n", F.posexplode("prefix").alias("at", "gram")))
+    shared = index.groupBy("gram").agg(F.count("*").alias("holders")).where("holders > 1")
+    sharing = index.join(shared, "gram")
+    crowds = sharing.where(F.col("holders") > most).groupBy("set").agg(F.count("*").alias("crowd"))
+    met = materialize(sharing.join(crowds, "set", "left").withColumn("crowd", F.coalesce("crowd", F.lit(0))))
     side = lambda df, s: df.select("gram", *[F.col(c).alias(f"{s}_{c}") for c in df.columns if c != "gram"])
     few = met.where(F.col("holders") <= most).select("gram", "set", "n", "at", "crowd")
     pairs = side(few, "a").join(side(few, "b"), "gram").where("a_set < b_set").where(_enough("a_", "b_"))
     pairs = pairs.withColumns({"told": F.lit(1), "untold": F.least("a_crowd", "b_crowd")})
-    many = met.where(F.col("holders") > most)
-    led = many.select(*[F.col(c).alias(f"b_{c}") for c in ("set", "n", "at")], *[F.col(f"first.{c}").alias(f"a_{c}") for c in ("set", "n", "at")], "crowd")
-    stars = led.where("a_set <> b_set").where(_enough("a_", "b_")).withColumns({"told": F.lit(0), "untold": F.col("crowd")})
+    many = met.where(F.col("holders") > most).select("gram", "set", "n", "at", "crowd")
     given = ["a_set", "b_set", "a_n", "b_n", "told", "untold"]
-    edges = similar(_candidates(pairs.select(given).unionByName(stars.select(given))), docs, marked, words)
-    member = materialize(components(edges))
-    if not many.isEmpty():
-        named = many.select("gram", "set", "n", "at").join(member.withColumnRenamed("node", "set"), "set", "left")
-        named = materialize(named.withColumn("component", F.coalesce("component", "set")))
-        apart = named.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("gram")
-        open_ = named.join(apart, "gram", "left_semi")
-        rest = side(open_, "a").join(side(open_, "b"), "gram").where("a_set < b_set and a_component <> b_component").where(_enough("a_", "b_"))
-        # Pairs that also share an uncrowded shingle were candidates above, so all they share is told here.
-        further = similar(_candidates(rest.withColumns({"told": F.lit(1), "untold": F.lit(0)}).select(given)), docs, marked, words)
-        member = materialize(components(edges.unionByName(further)))
+    stars = _stars(many.withColumn("component", F.col("set")), 0)
+    member = materialize(components(similar(_candidates(pairs.select(given).unionByName(stars.select(given))), docs, marked, words)))
+    for turn in range(1, turns + 1):
+        named = many.join(member.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
+        parts = named.groupBy("gram", "component").agg(F.count("*").cast("double").alias("n_sets"))
+        open_ = parts.groupBy("gram").agg(F.sum("n_sets").alias("all"), F.sum(F.col("n_sets") * F.col("n_sets")).alias("within")).where("all * all > within")
+        named = materialize(named.join(open_.select("gram"), "gram", "left_semi"))
+        left, sets = open_.agg(F.coalesce(F.sum((F.col("all") * F.col("all") - F.col("within")) / 2), F.lit(0.0)), F.coalesce(F.sum("all"), F.lit(0.0))).first()
+        if not left:
+            break
+        last = left <= most * sets or turn == turns
+        if last:
+            rest = side(named, "a").join(side(named, "b"), "gram").where("a_set < b_set and a_component <> b_component").where(_enough("a_", "b_"))
+            # Pairs that also share an uncrowded shingle were candidates above, so all they share is told here.
+            found = rest.withColumns({"told": F.lit(1), "untold": F.lit(0)})
+        else:
+            found = _stars(named, turn)
+        new = similar(_candidates(found.select(given)), docs, marked, words)
+        tied = member.select(F.col("node").alias("src"), F.col("component").alias("dst")).where("src <> dst")
+        member = materialize(components(tied.unionByName(new)))
+        if last:
+            break
     name = F.coalesce("component", "set")
     by_set = marked.select("doc_id", "text_hash", "set").join(member.withColumnRenamed("node", "set"), "set", "left").withColumn("component", name)
     ids = by_set.groupBy("component").agg(F.min("doc_id").alias("component_id"))
