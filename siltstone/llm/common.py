@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,11 +17,13 @@ BROADCAST_ROWS = 20_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share; set here only where the session names none (tests)."""
+    """Folder that driver and executors share; set here only where a local session names none (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir("/tmp/siltstone-checkpoints")
         path = spark.sparkContext.getCheckpointDir()
     return path.rstrip("/")
