@@ -461,7 +461,27 @@ def path_and_context(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", text.basename(uri).alias("basename"), text.extension(uri).alias("extension"), text.with_context(context, F.col("text")).alias("embedded"))
 
 
-# -- model surfaces: no SQL form ----------------------------------------------------------------------------------------
+# -- model surfaces -----------------------------------------------------------------------------------------------------
+#: Sign and place of a hashed term are its CRC-32, computed here from the table of the reflected polynomial.
+CRC = """crc_t AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY i) AS tab FROM range(256) r(i))"""
+
+
+def HASHED(source: str, key: str, name: str) -> str:
+    """name: key and v, the single-precision vector of the offline embedder; texts without a term are left out."""
+    return f"""{name}_t AS (SELECT {key}, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM {source}),
+{name}_c AS (SELECT term, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, length(term) + 1), lambda i: ascii(term[i])::BIGINT)),
+  lambda c, b: xor(c // 256, tab[xor(c, b) % 256 + 1]))) AS h FROM (SELECT DISTINCT term FROM {name}_t), crc_t),
+{name}_p AS (SELECT {key}, h % 256 AS place, sum(CASE WHEN h >= 2147483648 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END) AS x FROM {name}_t JOIN {name}_c USING (term) GROUP BY 1, 2),
+{name}_n AS (SELECT {key}, sqrt(sum(x * x)) AS norm FROM {name}_p GROUP BY 1 HAVING sum(x * x) > 0),
+{name}_m AS (SELECT {key}, map(list(place), list((x / norm)::FLOAT::DOUBLE)) AS m FROM {name}_p JOIN {name}_n USING ({key}) GROUP BY 1),
+{name} AS (SELECT {key}, list_transform(range(256), lambda i: coalesce(m[i], 0.0::DOUBLE)) AS v FROM {name}_m)"""
+
+
+#: The first sentence or line of the trimmed text, as far as 200 characters.
+FIRST = r"""substr(regexp_extract(regexp_replace(trim(text, chr(32) || chr(9) || chr(10) || chr(13)), '([.!?])\s', '\1' || chr(10), 'g'), '^[^\n]*'), 1, 200)"""
+
+
+# What is left without SQL: BLAKE2b, and the whole search.
 @query()
 def term_indexes(spark: SparkSession, sf: str) -> DataFrame:
     terms = sparse.doc_freq(sparse.postings(docs(spark, sf), "doc_id"))
@@ -477,23 +497,34 @@ def embedded_chunks(spark: SparkSession, sf: str, contextual: bool = False) -> D
     return models.embed(parts, models.HashEmbedder())
 
 
-@query()
+@query(f"""WITH {CRC}, {CHUNKS()}, {HASHED("chunks", "chunk_id", "p")}, asked AS (SELECT item_id AS query_id, text FROM benchmark), {HASHED("asked", "query_id", "q")},
+s AS (SELECT query_id, chunk_id, list_cosine_similarity(q.v, p.v) AS score FROM q, p), {TOP("s", "chunk_id", 10, "hits")} SELECT query_id, rank, chunk_id, round(score, 6) AS score FROM hits""")
 def hash_embed_topk(spark: SparkSession, sf: str) -> DataFrame:
     asked = models.embed(items(spark, sf), models.HashEmbedder(), F.col("query"))
     return rounded(dense_topk(asked, embedded_chunks(spark, sf), 10), "score")
 
 
-@query()
+@query(f"""WITH first AS (SELECT doc_id, {FIRST} AS context FROM documents), {CHUNKS()},
+e AS (SELECT chunk_id, context, regexp_matches(lower(context || ' ' || text), '[a-z0-9]') AS good FROM chunks JOIN first USING (doc_id))
+SELECT chunk_id, context, CASE WHEN good THEN 256 END AS dim, CASE WHEN NOT good THEN 'embed: empty vector' END AS embed_error FROM e""")
 def contextual_embed(spark: SparkSession, sf: str) -> DataFrame:
     return embedded_chunks(spark, sf, True).select("chunk_id", "context", F.size("dense").alias("dim"), "embed_error")
 
 
-@query()
+@query(r"""WITH w AS (SELECT item_id AS query_id, text AS query, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS w FROM benchmark),
+r AS (SELECT query_id, query, i, array_to_string(list_concat(w[i + 1:], w[:i]), ' ') AS q FROM (SELECT *, unnest(range(1, least(3, len(w) - 1) + 1)) AS i FROM w)),
+u AS (SELECT query_id, arg_min(q, i) AS q, min(i) AS i FROM r WHERE lower(q) <> lower(trim(query)) GROUP BY query_id, lower(q))
+SELECT query_id, 0 AS variant, query FROM w UNION ALL SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY i)::INT, q FROM u""")
 def expand_queries(spark: SparkSession, sf: str) -> DataFrame:
     return models.expand(items(spark, sf), models.rotated, 3)
 
 
-@query()
+@query(r"""WITH s AS (SELECT doc_id::VARCHAR AS uri, list_filter(regexp_split_to_array(regexp_replace(text, '([.!?])\s+', '\1' || chr(10), 'g'), '\n+'),
+  lambda x: len(list_filter(regexp_split_to_array(x, '\s+'), lambda y: y <> '')) >= 4)[:3] AS found FROM documents),
+o AS (SELECT uri, found, unnest(range(0, len(found)))::INT AS pos FROM s),
+q AS (SELECT uri, pos, 'What about ' || rtrim(array_to_string(list_filter(regexp_split_to_array(found[pos + 1], '\s+'), lambda y: y <> '')[:12], ' '), '.,;:!?') || '?' AS query FROM o),
+g AS (SELECT *, row_number() OVER (PARTITION BY uri, lower(query) ORDER BY pos) AS n FROM q WHERE length(query) >= 15 AND NOT contains(lower(query), lower(uri)))
+SELECT uri, pos, query FROM g WHERE n = 1""")
 def generate_golden(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate.golden_filter(models.questions(docs(spark, sf), models.leading_questions, 3).where("not failed").select("uri", "pos", "query"))
 
