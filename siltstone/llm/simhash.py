@@ -38,8 +38,9 @@ RADIUS = 2
 MOST = 64
 #: Shingles that several texts of one in SAMPLE hold come last in the order of the prefixes; at most COMMON of them.
 SAMPLE, COMMON = 8, 200_000
-#: Turns of comparing a crowded shingle's sets to one of them, before pairs that are still apart are compared.
-TURNS = 8
+#: Turns of comparing a crowded shingle's sets to one of them, before pairs that are still apart are compared. A turn that
+#: leaves more than WORTH of the last one's pairs apart is the last, too. Settings of speed, links do not depend on them.
+TURNS, WORTH = 8, 0.9
 #: Text hashes up to which those of candidates are broadcast.
 SMALL = 500_000
 
@@ -341,7 +342,8 @@ def similar_groups(docs: DataFrame, words: int = 3, most: int = MOST, turns: int
 
     Of a shingle that more than ``most`` prefixes share, all its sets are compared to one of them, in each turn to
     another one drawn by hash, until the pairs of sets that share such a shingle and are not in one component
-    yet are ``most`` a set or fewer, or ``turns`` are over. Then these pairs are compared, so that no link is missed.
+    yet are ``most`` a set or fewer, a turn has joined few of them, or ``turns`` are over. Then these pairs are compared,
+    so that no link is missed.
     """
     marked = materialize(shingle_prefixes(docs, words, _common(docs, words)))
     one = marked.select("set", "n", "prefix").dropDuplicates(["set"])
@@ -358,6 +360,7 @@ def similar_groups(docs: DataFrame, words: int = 3, most: int = MOST, turns: int
     given = ["a_set", "b_set", "a_n", "b_n", "told", "untold"]
     stars = _stars(many.withColumn("component", F.col("set")), 0)
     member = materialize(components(similar(_candidates(pairs.select(given).unionByName(stars.select(given))), docs, marked, words)))
+    before = float("inf")
     for turn in range(1, turns + 1):
         named = many.join(member.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
         parts = named.groupBy("gram", "component").agg(F.count("*").cast("double").alias("n_sets"))
@@ -366,7 +369,8 @@ def similar_groups(docs: DataFrame, words: int = 3, most: int = MOST, turns: int
         left, sets = open_.agg(F.coalesce(F.sum((F.col("all") * F.col("all") - F.col("within")) / 2), F.lit(0.0)), F.coalesce(F.sum("all"), F.lit(0.0))).first()
         if not left:
             break
-        last = left <= most * sets or turn == turns
+        last = left <= most * sets or left > WORTH * before or turn == turns
+        before = left
         if last:
             rest = side(named, "a").join(side(named, "b"), "gram").where("a_set < b_set and a_component <> b_component").where(_enough("a_", "b_"))
             # Pairs that also share an uncrowded shingle were candidates above, so all they share is told here.
