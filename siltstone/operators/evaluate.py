@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from siltstone.functions.text import basename
+from siltstone.functions.text import basename, words
+from siltstone.operators.topk import scratch, settled, small
 
 LEAST_QUERY = 15
+#: One text in COUNTED tells which of a query's words is rare; any choice gives the same rows.
+COUNTED = 16
 
 
 def golden_filter(asked: DataFrame, least: int = LEAST_QUERY) -> DataFrame:
@@ -22,6 +25,28 @@ def golden_filter(asked: DataFrame, least: int = LEAST_QUERY) -> DataFrame:
     return good.withColumn("__n", F.row_number().over(first)).where("__n = 1").select("uri", "pos", "query")
 
 
+def containing(docs: DataFrame, queries: DataFrame) -> DataFrame:
+    """(query_id, uri) of the texts (uri, text) that contain a query verbatim.
+
+    A query's words but its first and last are whole words of each text that contains it: it is compared to the texts
+    that hold the rarest of them only. Queries of one or two words are compared to all texts.
+    """
+    spark = docs.sparkSession
+    listed = words(F.col("query"))
+    asked = scratch(spark, queries.select("query_id", "query", F.array_distinct(F.slice(listed, 2, F.greatest(F.size(listed) - 2, F.lit(0)))).alias("inner")))
+    wanted = asked.select("query_id", F.explode("inner").alias("word"))
+    there = lambda d: d.select("uri", F.explode(words(F.col("text"))).alias("word"))
+    part = docs.where(F.pmod(F.xxhash64("uri"), F.lit(COUNTED)) == 0)
+    counts = there(part).join(small(wanted.select("word").distinct()), "word", "left_semi").groupBy("word").agg(F.count("*").alias("n"))
+    rarest = wanted.join(counts, "word", "left").groupBy("query_id").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word")).alias("x"))
+    anchors = settled(rarest.select("query_id", F.col("x.word").alias("word")))
+    pairs = settled(there(docs).join(anchors, "word").select("query_id", "uri").distinct())
+    same = F.contains(F.col("text"), F.col("query"))
+    found = docs.select("uri", "text").join(pairs, "uri").join(small(asked.select("query_id", "query")), "query_id").where(same).select("query_id", "uri")
+    short = asked.where(F.size("inner") == 0)
+    return found if short.isEmpty() else found.unionByName(docs.join(small(short), same).select("query_id", "uri"))
+
+
 def relevant_hits(golden: DataFrame, ranked: DataFrame) -> DataFrame:
     """(query_id, rank) of the retrieved documents that are relevant; ``ranked`` has (query_id, uri, rank)."""
     wanted = golden.select("query_id", F.explode(F.array_distinct("relevant_uris")).alias("uri"))

@@ -70,9 +70,7 @@ def with_texts(spark: SparkSession, sf: str, hits: DataFrame) -> DataFrame:
 
 def golden(spark: SparkSession, sf: str) -> DataFrame:
     """Every benchmark item with the documents that contain it verbatim."""
-    asked = small(items(spark, sf))
-    there = docs(spark, sf).join(asked, F.contains(F.col("text"), F.col("query")))
-    found = there.groupBy("query_id").agg(F.array_sort(F.collect_list("uri")).alias("relevant_uris"))
+    found = evaluate.containing(docs(spark, sf), items(spark, sf)).groupBy("query_id").agg(F.array_sort(F.collect_list("uri")).alias("relevant_uris"))
     return items(spark, sf).join(found, "query_id", "left").withColumn("relevant_uris", F.coalesce("relevant_uris", F.array().cast("array<string>")))
 
 

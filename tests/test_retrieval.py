@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from siltstone.operators import corrective, fuse, gate, models, rerank, sparse
+from siltstone.operators import corrective, evaluate, fuse, gate, models, rerank, sparse
 from siltstone.operators.dense import dense_topk
 from siltstone.operators.filters import payload_filter
 
@@ -149,3 +149,14 @@ def test_term_index(spark):
 
     got = spark.createDataFrame([("rent",), ("é",)], "t string").select(models.term_index(F.col("t"))).collect()
     assert [r[0] for r in got] == [int.from_bytes(blake2b(t.encode(), digest_size=4).digest(), "big") for t in ("rent", "é")]
+
+
+def test_containing_equals_a_nested_loop(spark):
+    texts = {"a": "one two three four", "b": "xone two threey", "c": "two", "d": "one  two three", "e": None, "f": "", "g": "one two three one two three"}
+    asked = {1: "one two three", 2: "two", 3: "", 4: None, 5: "one never three", 6: "e two t", 7: "two three", 8: "four"}
+    docs = spark.createDataFrame(list(texts.items()), "uri string, text string")
+    queries = spark.createDataFrame(list(asked.items()), "query_id long, query string")
+    found = sorted(tuple(r) for r in evaluate.containing(docs, queries).collect())
+    assert found == sorted((q, u) for q, x in asked.items() for u, t in texts.items() if x is not None and t is not None and x in t)
+    plan = evaluate.containing(docs, queries.where("query_id in (1, 5, 6)"))._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
