@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +30,31 @@ def postings(chunks: DataFrame, key: str = "chunk_id", text: str = "text", terms
     return tokens.groupBy(key, "term").agg(F.count("*").alias("tf"), F.max("length").alias("length"))
 
 
+def row_postings(chunks: DataFrame, terms: DataFrame, key: str = "chunk_id", text: str = "text") -> DataFrame:
+    """postings() of the given terms, counted where a text is read; only if keys repeat are they brought together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            coded = pc.dictionary_encode(lists.flatten())
+            if not len(coded):
+                continue
+            sizes, width = np.diff(np.asarray(lists.offsets)), len(coded.dictionary)
+            owner = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes)
+            pairs, tf = np.unique(owner * width + np.asarray(coded.indices), return_counts=True)
+            owner = pairs // width
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(owner)), coded.dictionary.take(pa.array(pairs % width)), pa.array(tf.astype(np.int64)), pa.array(sizes[owner].astype(np.int64))],
+                [key, "term", "tf", "length"],
+            )
+
+    tokens = chunks.select(F.col(key), tokenize(F.col(text)).alias("tokens"))
+    counted = tokens.mapInArrow(run, f"`{key}` {chunks.schema[key].dataType.simpleString()}, term string, tf long, length long").join(terms, "term", "left_semi")
+    if not chunks.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        counted = counted.groupBy(key, "term").agg(F.sum("tf").alias("tf"), F.max("length").alias("length"))
+    return counted.select(key, "term", "tf", "length")
+
+
 def corpus_stats(chunks: DataFrame, text: str = "text") -> DataFrame:
     """One row: n_docs, total_len, avgdl (0 without chunks)."""
     return (
