@@ -15,7 +15,8 @@ a shingle are one shingle; repeated rows share a component; a null doc_id never
 all its rows have null; empty tables give empty results; further columns do not matter, whatever their names.
 
 The pipeline's stage (``dedup_stage``) asks for shingle sets of Jaccard similarity 0.8 or more. At that similarity
-fingerprints differ in some ten bits, which no key on bits finds surely, so the stage joins the sets themselves, by
+fingerprints differ in some ten bits, which no key on bits finds surely. So the stage takes the links of the distance
+table first, each verified by the sets, and then joins the sets that these leave apart, by
 prefixes: under any one order of all shingles, two such sets share one of their first n - ceil(0.8 n) + 1 shingles.
 Rare ones come first in the order. Pairs that meet are verified by their exact sets.
 """
@@ -256,13 +257,15 @@ def _set_id(grams: np.ndarray) -> int:
 
 
 def shingle_prefixes(docs: DataFrame, words: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """doc_id, text_hash, the shingle set's name and size and its prefix of every row."""
+    """doc_id, text_hash, the shingle set's name and size, its prefix and the fingerprint of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, sizes, prefixes = [], [], []
+            names, sizes, prefixes, prints = [], [], [], []
             for text in batch.column(1):
-                grams = shingle_set((text.as_py() or "").encode(), words)
+                hashes = shingle_hashes((text.as_py() or "").encode(), words)
+                grams = np.unique(hashes)
+                prints.append(simhash(hashes))
                 names.append(_set_id(grams))
                 sizes.append(len(grams))
                 prefixes.append(_prefix(grams, common).view(np.int64))
@@ -270,12 +273,12 @@ def shingle_prefixes(docs: DataFrame, words: int, common: tuple[np.ndarray, np.n
             flat = np.concatenate(prefixes) if prefixes else np.empty(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(np.array(names, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), lists],
-                ["doc_id", "text_hash", "set", "n", "prefix"],
+                [batch.column(0), batch.column(2), pa.array(np.array(names, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), lists, pa.array(np.array(prints, np.uint64).view(np.int64))],
+                ["doc_id", "text_hash", "set", "n", "prefix", "fp"],
             )
 
     marked = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
-    return marked.mapInArrow(run, "doc_id long, text_hash long, set long, n long, prefix array<long>")
+    return marked.mapInArrow(run, "doc_id long, text_hash long, set long, n long, prefix array<long>, fp long")
 
 
 def _enough(a: str, b: str) -> Column:
@@ -328,6 +331,16 @@ def similar(pairs: DataFrame, docs: DataFrame, marked: DataFrame, words: int) ->
     return materialize(met.mapInArrow(verify, "src long, dst long"))
 
 
+def linked_sets(marked: DataFrame, most: int = MOST) -> DataFrame:
+    """src and dst: names of shingle sets whose fingerprints are equal (beside the first set of each) or linked by the distance table (first sets)."""
+    there = marked.where("n > 0").select("set", "fp").distinct()
+    first = materialize(there.groupBy("fp").agg(F.min("set").alias("first")))
+    same = there.join(first, "fp").select(F.col("first").alias("src"), F.col("set").alias("dst"))
+    side = lambda end: first.select(F.col("fp").alias(end), F.col("first").alias(f"{end}_set"))
+    near = links(first.select("fp"), most=most).join(side("src"), "src").join(side("dst"), "dst").select(F.least("src_set", "dst_set").alias("src"), F.greatest("src_set", "dst_set").alias("dst"))
+    return same.unionByName(near).where("src <> dst").distinct()
+
+
 def _stars(holders: DataFrame, turn: int) -> DataFrame:
     """Each holder of a shingle (gram, set, n, at, crowd, component) beside one of them, drawn by hash; holders of its component are left out."""
     drawn = F.struct(F.xxhash64("gram", "set", F.lit(turn)), *[F.col(c) for c in ("set", "n", "at", "crowd", "component")])
@@ -340,26 +353,33 @@ def _stars(holders: DataFrame, turn: int) -> DataFrame:
 def similar_groups(docs: DataFrame, words: int = 3, most: int = MOST, turns: int = TURNS) -> DataFrame:
     """doc_id, component, component_id (its smallest doc_id) and text_hash over links of Jaccard similarity 0.8 or more.
 
+    Sets whose fingerprints the distance table links are compared first; what these links join is left out of all that follows.
     Of a shingle that more than ``most`` prefixes share, all its sets are compared to one of them, in each turn to
     another one drawn by hash, until the pairs of sets that share such a shingle and are not in one component
     yet are ``most`` a set or fewer, a turn has joined few of them, or ``turns`` are over. Then these pairs are compared,
     so that no link is missed.
     """
     marked = materialize(shingle_prefixes(docs, words, _common(docs, words)))
+    tied = lambda m: m.select(F.col("node").alias("src"), F.col("component").alias("dst")).where("src <> dst")
+    member = materialize(components(similar(linked_sets(marked, most), docs, marked, words)))
     one = marked.select("set", "n", "prefix").dropDuplicates(["set"])
     index = materialize(one.select("set", "n", F.posexplode("prefix").alias("at", "gram")))
     shared = index.groupBy("gram").agg(F.count("*").alias("holders")).where("holders > 1")
     sharing = index.join(shared, "gram")
     crowds = sharing.where(F.col("holders") > most).groupBy("set").agg(F.count("*").alias("crowd"))
-    met = materialize(sharing.join(crowds, "set", "left").withColumn("crowd", F.coalesce("crowd", F.lit(0))))
+    group = member.withColumnsRenamed({"node": "set"})
+    met = materialize(
+        sharing.join(crowds, "set", "left").join(group, "set", "left").withColumns({"crowd": F.coalesce("crowd", F.lit(0)), "component": F.coalesce("component", "set")})
+    )
     side = lambda df, s: df.select("gram", *[F.col(c).alias(f"{s}_{c}") for c in df.columns if c != "gram"])
-    few = met.where(F.col("holders") <= most).select("gram", "set", "n", "at", "crowd")
-    pairs = side(few, "a").join(side(few, "b"), "gram").where("a_set < b_set").where(_enough("a_", "b_"))
+    few = met.where(F.col("holders") <= most).select("gram", "set", "n", "at", "crowd", "component")
+    pairs = side(few, "a").join(side(few, "b"), "gram").where("a_set < b_set and a_component <> b_component").where(_enough("a_", "b_"))
     pairs = pairs.withColumns({"told": F.lit(1), "untold": F.least("a_crowd", "b_crowd")})
-    many = met.where(F.col("holders") > most).select("gram", "set", "n", "at", "crowd")
+    many = met.where(F.col("holders") > most).select("gram", "set", "n", "at", "crowd", "component")
     given = ["a_set", "b_set", "a_n", "b_n", "told", "untold"]
-    stars = _stars(many.withColumn("component", F.col("set")), 0)
-    member = materialize(components(similar(_candidates(pairs.select(given).unionByName(stars.select(given))), docs, marked, words)))
+    new = similar(_candidates(pairs.select(given).unionByName(_stars(many, 0).select(given))), docs, marked, words)
+    member = materialize(components(tied(member).unionByName(new)))
+    many = many.drop("component")
     before = float("inf")
     for turn in range(1, turns + 1):
         named = many.join(member.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
@@ -378,8 +398,7 @@ def similar_groups(docs: DataFrame, words: int = 3, most: int = MOST, turns: int
         else:
             found = _stars(named, turn)
         new = similar(_candidates(found.select(given)), docs, marked, words)
-        tied = member.select(F.col("node").alias("src"), F.col("component").alias("dst")).where("src <> dst")
-        member = materialize(components(tied.unionByName(new)))
+        member = materialize(components(tied(member).unionByName(new)))
         if last:
             break
     name = F.coalesce("component", "set")
