@@ -30,6 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from siltstone.llm.common import materialize, pack, small, tie_break
 
@@ -42,6 +43,8 @@ SAMPLE, COMMON = 8, 200_000
 #: Turns of comparing a crowded shingle's sets to one of them, before pairs that are still apart are compared. A turn that
 #: leaves more than WORTH of the last one's pairs apart is the last, too. Settings of speed, links do not depend on them.
 TURNS, WORTH = 8, 0.9
+#: Rounds of leaving out prefix rows that no similar set can share. A setting of speed, links do not depend on it.
+ROUNDS = 3
 #: Text hashes up to which those of candidates are broadcast.
 SMALL = 500_000
 
@@ -282,10 +285,28 @@ def shingle_prefixes(docs: DataFrame, words: int, common: tuple[np.ndarray, np.n
 
 
 def _enough(a: str, b: str) -> Column:
-    """What the places of a shared shingle leave: too small an overlap for similarity 0.8 if false."""
-    at = lambda f: f(F.col(f"{a}at"), F.col(f"{b}at"))
+    """What a shared shingle's places, and the shared ones before it, leave: too small an overlap for similarity 0.8 if false."""
+    before = F.least(F.col(f"{a}before"), F.col(f"{b}before"))
     after = F.least(F.col(f"{a}n") - F.col(f"{a}at"), F.col(f"{b}n") - F.col(f"{b}at"))
-    return (at(F.least) + after) * 9 >= (F.col(f"{a}n") + F.col(f"{b}n")) * 4
+    return (before + after) * 9 >= (F.col(f"{a}n") + F.col(f"{b}n")) * 4
+
+
+def _prospects(index: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """Rows of ``index`` (set, n, at, gram: the prefixes) at which a similar set may be met, with holders, the sets
+    met there, and before, how many of the set's earlier shingles a similar set may have.
+
+    If two sets meet in a shingle, both have all their earlier ones in their prefixes, so an earlier one that no other
+    prefix holds is in one of them only. A row that leaves too small an overlap even for the smallest holder of its
+    shingle goes: no similar set is met there. So a shingle that then has one row is shared by no similar sets either,
+    and each round finds more.
+    """
+    rows, place = index, Window.partitionBy("set").orderBy("at")
+    for turn in range(rounds + 1):
+        shared = rows.groupBy("gram").agg(F.count("*").alias("holders"), F.min("n").alias("least_n")).where("holders > 1")
+        met = rows.select("set", "n", "at", "gram").join(shared, "gram").withColumn("before", F.row_number().over(place) - 1)
+        if turn == rounds:
+            return materialize(met.drop("least_n"))
+        rows = materialize(met.where("(before + n - at) * 9 >= (n + least_n) * 4"))
 
 
 def _candidates(rows: DataFrame) -> DataFrame:
@@ -342,10 +363,14 @@ def linked_sets(marked: DataFrame, most: int = MOST) -> DataFrame:
 
 
 def _stars(holders: DataFrame, turn: int) -> DataFrame:
-    """Each holder of a shingle (gram, set, n, at, crowd, component) beside one of them, drawn by hash; holders of its component are left out."""
-    drawn = F.struct(F.xxhash64("gram", "set", F.lit(turn)), *[F.col(c) for c in ("set", "n", "at", "crowd", "component")])
-    first = holders.groupBy("gram").agg(F.min(drawn).alias("x")).select("gram", *[F.col(f"x.{c}").alias(f"a_{c}") for c in ("set", "n", "at", "crowd", "component")])
-    led = holders.select("gram", *[F.col(c).alias(f"b_{c}") for c in ("set", "n", "at", "crowd", "component")]).join(first, "gram")
+    """Each holder of a shingle (gram, set, n, at, before, crowd, component) beside one of them; holders of its component are left out.
+
+    In turn 0 that is one with the fewest earlier shingles of its own, such as the original of many edited copies, later one drawn by hash.
+    """
+    own = F.col("at") - F.col("before") if turn == 0 else F.lit(0)
+    drawn = F.struct(own, F.xxhash64("gram", "set", F.lit(turn)), *[F.col(c) for c in ("set", "n", "at", "before", "crowd", "component")])
+    first = holders.groupBy("gram").agg(F.min(drawn).alias("x")).select("gram", *[F.col(f"x.{c}").alias(f"a_{c}") for c in ("set", "n", "at", "before", "crowd", "component")])
+    led = holders.select("gram", *[F.col(c).alias(f"b_{c}") for c in ("set", "n", "at", "before", "crowd", "component")]).join(first, "gram")
     met = led.where((F.col("a_component") != F.col("b_component")) & _enough("a_", "b_"))
     return met.withColumns({"told": F.lit(0), "untold": F.least("a_crowd", "b_crowd")})
 
@@ -354,8 +379,8 @@ def similar_groups(docs: DataFrame, words: int = 3, most: int = MOST, turns: int
     """doc_id, component, component_id (its smallest doc_id) and text_hash over links of Jaccard similarity 0.8 or more.
 
     Sets whose fingerprints the distance table links are compared first; what these links join is left out of all that follows.
-    Of a shingle that more than ``most`` prefixes share, all its sets are compared to one of them, in each turn to
-    another one drawn by hash, until the pairs of sets that share such a shingle and are not in one component
+    Places of a prefix where no similar set can be met are left out. Of a shingle that more than ``most`` of the rest share,
+    all its sets are compared to one of them, in each turn to another one, until the pairs of sets that share such a shingle and are not in one component
     yet are ``most`` a set or fewer, a turn has joined few of them, or ``turns`` are over. Then these pairs are compared,
     so that no link is missed.
     """
@@ -364,18 +389,17 @@ def similar_groups(docs: DataFrame, words: int = 3, most: int = MOST, turns: int
     member = materialize(components(similar(linked_sets(marked, most), docs, marked, words)))
     one = marked.select("set", "n", "prefix").dropDuplicates(["set"])
     index = materialize(one.select("set", "n", F.posexplode("prefix").alias("at", "gram")))
-    shared = index.groupBy("gram").agg(F.count("*").alias("holders")).where("holders > 1")
-    sharing = index.join(shared, "gram")
+    sharing = _prospects(index)
     crowds = sharing.where(F.col("holders") > most).groupBy("set").agg(F.count("*").alias("crowd"))
     group = member.withColumnsRenamed({"node": "set"})
     met = materialize(
         sharing.join(crowds, "set", "left").join(group, "set", "left").withColumns({"crowd": F.coalesce("crowd", F.lit(0)), "component": F.coalesce("component", "set")})
     )
     side = lambda df, s: df.select("gram", *[F.col(c).alias(f"{s}_{c}") for c in df.columns if c != "gram"])
-    few = met.where(F.col("holders") <= most).select("gram", "set", "n", "at", "crowd", "component")
+    few = met.where(F.col("holders") <= most).select("gram", "set", "n", "at", "before", "crowd", "component")
     pairs = side(few, "a").join(side(few, "b"), "gram").where("a_set < b_set and a_component <> b_component").where(_enough("a_", "b_"))
     pairs = pairs.withColumns({"told": F.lit(1), "untold": F.least("a_crowd", "b_crowd")})
-    many = met.where(F.col("holders") > most).select("gram", "set", "n", "at", "crowd", "component")
+    many = met.where(F.col("holders") > most).select("gram", "set", "n", "at", "before", "crowd", "component")
     given = ["a_set", "b_set", "a_n", "b_n", "told", "untold"]
     new = similar(_candidates(pairs.select(given).unionByName(_stars(many, 0).select(given))), docs, marked, words)
     member = materialize(components(tied(member).unionByName(new)))
