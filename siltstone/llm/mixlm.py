@@ -1,7 +1,7 @@
 """LM scoring by online logistic context mixing.
 
 A text is its lower-case words, each ended by a space, and one end sign. It first names its group, one of
-``GROUPS`` that a mixture of word distributions finds in a sample of the training texts (such as languages).
+``GROUPS`` of a mixture of word distributions over the training texts (such as languages).
 Every byte is coded by the binary decisions of one static prefix code. Five hashed-context bit predictors -
 the group with the last one to four bytes or with the whole word so far - hold counts of the training texts; the mixer adds their stretched probabilities with weights gated by
 the depth in the code and by the evidence of two predictors, learnt online, and an adaptive table refines the sum. This
@@ -15,8 +15,10 @@ words in the order of their 64-bit hashes, and its texts as positions in them. W
 range, as many as the corpus needs; a slice merges its words, counts them, prices them and sends prices and
 training counts back to the blocks. The base score's counts are exact.
 
-All training texts are counted, but for the ones that the mixer's weights are learnt from (the first ``TUNE_TEXTS``
-of one in ``TUNE``, ``TUNE_WORDS`` words each); the groups are found in ``GROUP_TEXTS`` ones. Predictor tables have a fixed size, which bounds what is broadcast.
+All training texts are learnt from, by all parts. The predictors count every token; the mixer learns from every token too, whose own
+count is taken from the predictors meanwhile, online within a slice; the slices' weights are then averaged by their evidence.
+The groups start from a mixture of ``GROUP_TEXTS`` texts, which ``GROUP_ROUNDS`` rounds of EM over all training texts replace.
+Predictor tables have a fixed size, which bounds what is broadcast.
 
 Defined cases: null and empty texts consist of the end sign; null ids are learnt from (their fold is none); an
 empty training side gives the predictors' priors and V = N = 0; repeated rows are separate texts; further
@@ -46,9 +48,10 @@ TABLE_BITS = (18, 19, 20, 20, 22)
 PREDICTORS = len(TABLE_BITS)
 OFFSETS = [sum(1 << b for b in TABLE_BITS[:i]) for i in range(PREDICTORS)]
 SLOTS = sum(1 << b for b in TABLE_BITS)
-TUNE, TUNE_TEXTS, TUNE_WORDS = 32, 400, 300
-#: Groups, texts that they are found in, hashed words that tell them apart.
-GROUPS, GROUP_TEXTS, FEATURES = 6, 1500, 4096
+#: Texts that a trial may leave out of the predictors' counts: the first TUNE_TEXTS of one in TUNE. ``score`` leaves out none.
+TUNE, TUNE_TEXTS = 32, 400
+#: Groups, texts that their start is found in, hashed words that tell them apart, rounds of EM over all training texts, parts of a text's share.
+GROUPS, GROUP_TEXTS, FEATURES, GROUP_ROUNDS, SHARES = 6, 1500, 4096, 3, 1024
 #: Words that the blocks send to one slice, about.
 SLICE_WORDS = 300_000
 PRICED = 4_096
@@ -56,6 +59,9 @@ END, STOP = 0x0A, 0x20
 #: Gates: depth in the code, evidence of the whole-prefix and of the order-3 predictor.
 DEPTHS, EVIDENCE = 6, 5
 GATES = DEPTHS * EVIDENCE * EVIDENCE
+NODES = 25
+#: The mixer's first weights count as this much curvature, a refining node's first value as this many decisions; sums are kept in parts of 1 / EXACT.
+PRIOR, NODE_PRIOR, EXACT = 10.0, 4.0, 4096
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
 
@@ -141,6 +147,11 @@ def decisions(words: pa.BinaryArray, groups: np.ndarray, code: Code) -> tuple[li
     return slots, branch, np.minimum(depth, DEPTHS - 1), (ends - length)[first]
 
 
+def _said(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-odds of branch 1 and the amount of evidence (0 to 4) of counts of the branches."""
+    return np.clip(np.log((ones + 0.2) / (zeros + 0.2)), -12, 12), np.searchsorted([1, 4, 24, 256], zeros + ones, side="right")
+
+
 @dataclass
 class Tables:
     """What the predictors say: log-odds of branch 1 in each slot, and how much evidence they rest on (0 to 4)."""
@@ -153,9 +164,7 @@ class Tables:
         """From (slots, 2) counts of the branches."""
         odds, evidence = np.empty(len(counts), np.float32), np.empty(len(counts), np.uint8)
         for at in range(0, len(counts), 1 << 18):  # the whole in one step would take several times its memory
-            part = counts[at : at + (1 << 18)]
-            odds[at : at + len(part)] = np.clip(np.log((part[:, 1] + 0.2) / (part[:, 0] + 0.2)), -12, 12)
-            evidence[at : at + len(part)] = np.searchsorted([1, 4, 24, 256], part.sum(1), side="right")
+            odds[at : at + (1 << 18)], evidence[at : at + (1 << 18)] = _said(counts[at : at + (1 << 18), 0], counts[at : at + (1 << 18), 1])
         return cls(odds, evidence)
 
     def inputs(self, slots: list[np.ndarray], depth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -187,18 +196,59 @@ class Mixer:
         part = z - low
         return self.refine[gate, low + 12] * (1 - part) + self.refine[gate, low + 13] * part
 
-    def learn(self, inputs: np.ndarray, gate: np.ndarray, branch: np.ndarray, batch: int = 64, rate: float = 0.001) -> None:
-        """One online pass: weights and the refining table follow the coding error, batch by batch."""
-        for at in range(0, len(gate), batch):
-            x, g, y = inputs[at : at + batch], gate[at : at + batch], branch[at : at + batch]
-            z = self.mixed(x, g)
-            step = rate
-            error = (y - 1 / (1 + np.exp(-z))).astype(np.float32)
-            np.add.at(self.weights, g, step * error[:, None] * x)
-            low, part = np.floor(z).astype(np.int64), z - np.floor(z)
-            error = (y - 1 / (1 + np.exp(-self.refined(z, g)))).astype(np.float32)
-            np.add.at(self.refine, (g, low + 12), 10 * step * error * (1 - part))
-            np.add.at(self.refine, (g, low + 13), 10 * step * error * part)
+
+class Learner:
+    """A mixer that learns online, by Newton steps of each gate, and the sums that it leaves: curvature and curvature times
+    weights of each gate, zeros and ones at each node of the refining table."""
+
+    SIZES = (GATES * PREDICTORS * PREDICTORS, GATES * PREDICTORS, GATES * NODES, GATES * NODES)
+
+    def __init__(self) -> None:
+        self.mixer = Mixer.new()
+        self.curvature = np.zeros((GATES, PREDICTORS, PREDICTORS))
+        self.zeros, self.ones = np.zeros(GATES * NODES), np.zeros(GATES * NODES)
+
+    def learn(self, words: pa.BinaryArray, groups: np.ndarray, times: np.ndarray, code: Code, counts: np.ndarray) -> None:
+        """From words (``times`` tokens each), each token without its own part of ``counts`` (slots, 2). Batches are small at first, since the first weights are."""
+        at, size = 0, 64
+        while at < len(words):
+            slots, branch, depth, first = decisions(words.slice(at, size), groups[at : at + size], code)
+            weight = np.repeat(times[at : at + size].astype(np.float64), np.diff(np.append(first, len(branch))))
+            said = [_said(np.maximum(counts[s, 0] - (branch == 0), 0), np.maximum(counts[s, 1] - (branch == 1), 0)) for s in slots]
+            self._step(np.stack([x[0] for x in said], axis=1).astype(np.float32), (depth * EVIDENCE + said[4][1]) * EVIDENCE + said[2][1], branch, weight)
+            at, size = at + size, min(2 * size, PRICED)
+
+    def _step(self, x: np.ndarray, gate: np.ndarray, branch: np.ndarray, weight: np.ndarray) -> None:
+        z = self.mixer.mixed(x, gate)
+        low = np.floor(z).astype(np.int64)
+        node, part = gate * NODES + low + 12, z - low
+        for sums, hit in ((self.zeros, weight * (branch == 0)), (self.ones, weight * (branch == 1))):
+            sums += np.bincount(node, weights=hit * (1 - part), minlength=len(sums)) + np.bincount(node + 1, weights=hit * part, minlength=len(sums))
+        p = 1 / (1 + np.exp(-z))
+        error, bent = weight * (branch - p), weight * np.maximum(p * (1 - p), 0.01)
+        slope = np.stack([np.bincount(gate, weights=error * x[:, j], minlength=GATES) for j in range(PREDICTORS)], axis=1)
+        for i in range(PREDICTORS):
+            for j in range(i + 1):
+                self.curvature[:, i, j] += np.bincount(gate, weights=bent * x[:, i] * x[:, j], minlength=GATES)
+                self.curvature[:, j, i] = self.curvature[:, i, j]
+        step = np.linalg.solve(self.curvature + PRIOR * np.eye(PREDICTORS), slope[:, :, None])[:, :, 0]
+        self.mixer.weights += np.clip(step, -0.2, 0.2).astype(np.float32)
+
+    def sums(self) -> np.ndarray:
+        """Whole numbers, so that the order in which they are added does not matter."""
+        pulled = np.einsum("gij,gj->gi", self.curvature, self.mixer.weights)
+        return np.concatenate([np.rint(x.reshape(-1) * EXACT).astype(np.int64) for x in (self.curvature, pulled, self.zeros, self.ones)])
+
+    @classmethod
+    def mixed(cls, sums: np.ndarray) -> Mixer:
+        """The mixer of all learners whose ``sums`` were added up: weights averaged by curvature, nodes from all counts."""
+        curvature, pulled, zeros, ones = [x / EXACT for x in np.split(sums, np.cumsum(cls.SIZES)[:-1])]
+        mixer = Mixer.new()
+        whole = curvature.reshape(GATES, PREDICTORS, PREDICTORS) + PRIOR * np.eye(PREDICTORS)
+        weights = np.linalg.solve(whole, (pulled.reshape(GATES, PREDICTORS) + PRIOR * mixer.weights)[:, :, None])[:, :, 0]
+        node = 1 / (1 + np.exp(-np.arange(-12, 13)))
+        odds = np.log((ones.reshape(GATES, NODES) + NODE_PRIOR * node) / (zeros.reshape(GATES, NODES) + NODE_PRIOR * (1 - node)))
+        return Mixer(weights.astype(np.float32), odds.astype(np.float32))
 
 
 def price(words: pa.BinaryArray, groups: np.ndarray, code: Code, tables: Tables, mixer: Mixer) -> np.ndarray:
@@ -267,8 +317,50 @@ def _features(hashes: np.ndarray) -> np.ndarray:
     return (hashes % np.uint64(FEATURES)).astype(np.int64)
 
 
+def _fit(tokens: np.ndarray, sizes: np.ndarray, features: np.ndarray, known: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """(groups, texts): log-probability of each text's words in each group."""
+    owner, logs = np.repeat(np.arange(len(sizes)), sizes), known[0][:, features]
+    return np.stack([np.bincount(owner, weights=logs[k][tokens], minlength=len(sizes)) + known[1][k] for k in range(GROUPS)])
+
+
+def _read(tokens, sizes, features) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A block's positions of words, texts' sizes, words' features."""
+    return np.frombuffer(_expand(tokens.as_py()), np.int32), np.asarray(sizes.values).astype(np.int64), np.frombuffer(_expand(features.as_py()), np.int16)
+
+
+def _regrouped(parts: DataFrame, known: tuple[np.ndarray, np.ndarray]) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """The groups after one round of EM over all training texts, and how many of these the given ``known`` names for each group.
+
+    A text's shares of the groups are whole parts of SHARES, so that sums do not depend on their order.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros((GROUPS, FEATURES + 2), np.int64)
+        for batch in batches:
+            for tokens, sizes, features, folds in zip(*[batch.column(i) for i in range(4)], strict=True):
+                tokens, sizes, features = _read(tokens, sizes, features)
+                fit = _fit(tokens, sizes, features, known)
+                training = np.array([f != 2 for f in folds.as_py()], bool)
+                share = np.exp(fit - fit.max(0))
+                share = np.rint(SHARES * share / share.sum(0)) * training
+                for k in range(GROUPS):
+                    words = np.bincount(tokens, weights=np.repeat(share[k], sizes), minlength=len(features))
+                    out[k, :FEATURES] += np.bincount(features, weights=words, minlength=FEATURES).astype(np.int64)
+                out[:, FEATURES] += share.sum(1).astype(np.int64)
+                out[:, FEATURES + 1] += np.bincount(fit.argmax(0)[training], minlength=GROUPS)
+        yield pa.RecordBatch.from_arrays([pa.array(range(out.size), pa.int32()), pa.array(out.reshape(-1))], ["at", "n"])
+
+    sums = np.zeros(GROUPS * (FEATURES + 2), np.int64)
+    # A row for each group and feature, whatever the corpus.
+    for at, n in parts.select("tokens", "n_tokens", "features", "folds").mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n")).collect():
+        sums[at] = n
+    sums = sums.reshape(GROUPS, FEATURES + 2)
+    words, texts = sums[:, :FEATURES] / SHARES + 0.05, sums[:, FEATURES] / SHARES
+    return (np.log(words / words.sum(1, keepdims=True)), np.log((texts + 1) / (texts.sum() + GROUPS))), sums[:, FEATURES + 1]
+
+
 def _grouped(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The groups of the first GROUP_TEXTS training texts in hash order of doc_id."""
+    """The start of the groups: those of the first GROUP_TEXTS training texts in hash order of doc_id."""
     turn = F.xxhash64(F.lit(3), F.col("doc_id"))
     training = docs.select("text", turn.alias("turn"), F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)).alias("fold")).where("fold <> 2")
     last = training.select("turn").orderBy("turn").limit(GROUP_TEXTS).agg(F.max("turn")).first()[0]
@@ -294,7 +386,7 @@ def _grouped(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 # -- blocks of texts ---------------------------------------------------------------------------------------------------
-BLOCK = "block long, ids array<long>, folds array<int>, groups array<int>, n_tokens array<int>, bytes array<long>, tokens binary, n_words int, words array<binary>, turns array<long>, lines array<binary>, kinds array<int>"
+BLOCK = "block long, ids array<long>, folds array<int>, groups array<int>, n_tokens array<int>, bytes array<long>, tokens binary, n_words int, words array<binary>, turns array<long>, features binary"
 
 
 def _press(data: bytes) -> bytes:
@@ -328,29 +420,17 @@ def _block(ids: list, folds: list, texts: list[pa.Array], known: tuple[np.ndarra
     words, place = words.take(pa.array(order)), np.empty(len(order), np.int32)
     place[order] = np.arange(len(order), dtype=np.int32)
     tokens = place[np.asarray(coded.indices)] if len(order) else np.empty(0, np.int32)
-    logs, prior = known
-    logs = logs[:, _features(hashes[order])]
-    fit = np.stack([np.bincount(owner, weights=logs[k][tokens], minlength=len(ids)) + prior[k] for k in range(GROUPS)])
-    groups = fit.argmax(0).astype(np.int32)
-    sizes = np.bincount(owner, minlength=len(ids))
-    ends = np.cumsum(sizes)
-    turns, lines, kinds = [], [], []
-    for i in np.flatnonzero(_tuned(ids, folds)).tolist():
-        # Words drawn from a tuning text, its end (the word after the last one) among them.
-        turn = _turn(ids[i])
-        own = np.append(tokens[ends[i] - sizes[i] : ends[i]], len(words))
-        drawn = own if len(own) <= TUNE_WORDS else np.random.default_rng(turn).choice(own, TUNE_WORDS, replace=False)
-        turns.append(turn)
-        lines.append(b"\n".join(words[int(w)].as_py() if w < len(words) else b"" for w in drawn))
-        kinds.append(int(groups[i]))
+    sizes, features = np.bincount(owner, minlength=len(ids)), _features(hashes[order]).astype(np.int16)
+    groups = _fit(tokens, sizes, features, known).argmax(0).astype(np.int32)
+    turns = [_turn(ids[i]) for i in np.flatnonzero(_tuned(ids, folds)).tolist()]
     one = lambda x, kind: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x if isinstance(x, pa.Array) else pa.array(x, kind))
     return pa.RecordBatch.from_arrays(
         [
             pa.array([random.SystemRandom().getrandbits(62)], pa.int64()), one(ids, pa.int64()), one(folds, pa.int32()), one(groups, pa.int32()), one(sizes.astype(np.int32), pa.int32()),
             one(np.asarray(pc.binary_length(text)).astype(np.int64), pa.int64()), pa.array([_press(tokens.tobytes())], pa.binary()), pa.array([len(words)], pa.int32()), one(words, None),
-            one(turns, pa.int64()), one(lines, pa.binary()), one(kinds, pa.int32()),
+            one(turns, pa.int64()), pa.array([_press(features.tobytes())], pa.binary()),
         ],
-        ["block", "ids", "folds", "groups", "n_tokens", "bytes", "tokens", "n_words", "words", "turns", "lines", "kinds"],
+        ["block", "ids", "folds", "groups", "n_tokens", "bytes", "tokens", "n_words", "words", "turns", "features"],
     )
 
 
@@ -388,13 +468,13 @@ def _turn(name) -> int:
 
 
 def _last_turn(parts: DataFrame) -> int:
-    """The turn of the last tuning text: the mixer learns from texts up to it, the predictors from all others."""
+    """The turn of the last text that a trial leaves out: the predictors learn from all others."""
     last = parts.select(F.explode("turns").alias("turn")).orderBy("turn").limit(TUNE_TEXTS).agg(F.max("turn")).first()[0]
     return -1 if last is None else last
 
 
 def _tuned(ids: list, folds: list) -> np.ndarray:
-    """Which texts the mixer may learn from: of the training ones, one in TUNE by the id's hash."""
+    """Which texts a trial may leave out: of the training ones, one in TUNE by the id's hash."""
     return np.array([f is not None and f != 2 and xxhash.xxh64_intdigest(str(i), 5) % TUNE == 0 for i, f in zip(ids, folds, strict=True)], bool)
 
 
@@ -403,7 +483,7 @@ def _pairs(tokens, sizes, groups, words: int) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.asarray(sizes.values).astype(np.int64)
     line = np.insert(np.frombuffer(_expand(tokens.as_py()), np.int32), np.cumsum(sizes), words)
     texts = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + 1)
-    return line * np.int32(GROUPS) + np.asarray(groups.values)[texts], texts
+    return line * np.int32(GROUPS) + np.asarray(groups)[texts], texts
 
 
 def _of_slice(hashes: np.ndarray, slices: int) -> np.ndarray:
@@ -414,17 +494,18 @@ def _of_slice(hashes: np.ndarray, slices: int) -> np.ndarray:
 VOCABULARY = "slice int, words array<binary>, pairs binary, learnt binary, trained binary, blocks array<long>, places array<binary>"
 
 
-def _vocabulary(parts: DataFrame, slices: int, last: int) -> DataFrame:
+def _vocabulary(parts: DataFrame, slices: int, last: int = -1, known_groups: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
     """A row a slice: its words, its pairs of word and group with their counts to learn from, each word's training
     tokens, and for each block the places of its pairs among them."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, ids, folds, groups, sizes, tokens, words in zip(*[batch.column(i) for i in range(7)], strict=True):
+            for block, ids, folds, groups, sizes, tokens, words, features in zip(*[batch.column(i) for i in range(8)], strict=True):
                 spelt, names, known = words.values, ids.as_py(), folds.as_py()
-                pairs, texts = _pairs(tokens, sizes, groups, len(spelt))
-                training = np.array([f != 2 for f in known], bool)
-                learnt = training & ~(_tuned(names, known) & np.array([_turn(i) <= last for i in names], bool))
+                pairs, texts = _pairs(tokens, sizes, groups.values if known_groups is None else _fit(*_read(tokens, sizes, features), known_groups).argmax(0).astype(np.int32), len(spelt))
+                learnt = training = np.array([f != 2 for f in known], bool)
+                if last >= 0:
+                    learnt = training & ~(_tuned(names, known) & np.array([_turn(i) <= last for i in names], bool))
                 n = (len(spelt) + 1) * GROUPS
                 there = np.flatnonzero(np.bincount(pairs, minlength=n)[: len(spelt) * GROUPS])
                 trained = np.bincount(pairs[training[texts]], minlength=n)[there].astype(np.int32)
@@ -471,7 +552,7 @@ def _vocabulary(parts: DataFrame, slices: int, last: int) -> DataFrame:
         if rows:
             yield merge(now, rows)
 
-    sent = parts.select("block", "ids", "folds", "groups", "n_tokens", "tokens", "words").mapInArrow(
+    sent = parts.select("block", "ids", "folds", "groups", "n_tokens", "tokens", "words", "features").mapInArrow(
         split, "block long, slice int, words array<binary>, pairs binary, trained binary, learnt binary"
     )
     return sent.repartition("slice").sortWithinPartitions("slice", "block").mapInArrow(gather, VOCABULARY)
@@ -504,7 +585,7 @@ def _add(tables: np.ndarray, words: pa.BinaryArray, kinds: np.ndarray, counts: n
             np.add.at(tables, s * 2 + branch, times)
 
 
-def _count(vocabulary: DataFrame, ends: np.ndarray, code: Code) -> Tables:
+def _count(vocabulary: DataFrame, ends: np.ndarray, code: Code) -> np.ndarray:
     """Predictor counts of all words to learn from, and of the ends of each group; tables are summed piece by piece."""
     pieces = 1 << 6
 
@@ -537,24 +618,33 @@ def _count(vocabulary: DataFrame, ends: np.ndarray, code: Code) -> Tables:
         out[row["piece"]] = np.frombuffer(_expand(bytes(row["counts"])), np.int64)
     out = out.reshape(-1)
     _add(out, pa.array([b""] * GROUPS, pa.binary()), np.arange(GROUPS), ends, code)
-    return Tables.of(out.reshape(SLOTS, 2))
-
-
-def _tune(parts: DataFrame, code: Code, tables: Tables) -> Mixer:
-    """The mixer after one online pass over the words of the tuning texts, shuffled with a fixed seed."""
-    each = parts.select(F.explode(F.arrays_zip("turns", "lines", "kinds")).alias("x")).select("x.*")
-    words, kinds = [], []
-    # TUNE_TEXTS rows of TUNE_WORDS words at most.
-    for _, line, kind in each.orderBy("turns", "lines").limit(TUNE_TEXTS).collect():
-        found = bytes(line).split(b"\n")
-        words += found
-        kinds += [kind] * len(found)
-    order = np.random.default_rng(1).permutation(len(words))
-    spelt, kinds, mixer = pa.array(words, pa.binary()).take(pa.array(order)), np.array(kinds, np.int64)[order], Mixer.new()
-    for at in range(0, len(words), PRICED):
-        slots, branch, depth, _ = decisions(spelt.slice(at, PRICED), kinds[at : at + PRICED], code)
-        mixer.learn(*tables.inputs(slots, depth), branch)
-    return mixer
+    return out.reshape(SLOTS, 2)
+
+
+def _tune(vocabulary: DataFrame, ends: np.ndarray, code: Code, counts: np.ndarray) -> Mixer:
+    """The mixer learnt from all tokens to learn from: a slice's online, in one pass, the slices' added up."""
+    shared = vocabulary.sparkSession.sparkContext.broadcast((code, counts.astype(np.float32)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(sum(Learner.SIZES), np.int64)
+        for batch in batches:
+            for words, pairs, learnt in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                pairs, times = np.frombuffer(_expand(pairs), np.int64), np.frombuffer(_expand(learnt), np.int64)
+                pairs, times = pairs[times > 0], times[times > 0]
+                learner = Learner()
+                learner.learn(words.values.take(pa.array(pairs // GROUPS)), pairs % GROUPS, times, *shared.value)
+                out += learner.sums()
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(out)), pa.int32()), pa.array(out)], ["at", "n"])
+
+    own = Learner()
+    there = np.flatnonzero(ends)
+    own.learn(pa.array([b""] * len(there), pa.binary()), there, ends[there], *shared.value)
+    sums = own.sums()
+    # A fixed number of sums, whatever the corpus.
+    for at, n in vocabulary.select("words", "pairs", "learnt").mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n")).collect():
+        sums[at] += n
+    shared.unpersist()
+    return Learner.mixed(sums)
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -564,11 +654,10 @@ def score(docs: DataFrame) -> DataFrame:
     parts = materialize(blocks(docs, known_groups))
     distinct = parts.agg(F.coalesce(F.sum(F.col("n_words").cast("long")), F.lit(0))).first()[0]
     slices = max(8, -(-distinct // SLICE_WORDS))
-    vocabulary = materialize(_vocabulary(parts, slices, _last_turn(parts)))
-    each = parts.select(F.explode(F.arrays_zip("folds", "groups")).alias("x")).where("x.folds is null or x.folds <> 2")
-    ends = np.zeros(GROUPS, np.int64)
-    for group, n in each.groupBy("x.groups").count().collect():
-        ends[group] = n
+    for _ in range(GROUP_ROUNDS):
+        known_groups, _ = _regrouped(parts, known_groups)
+    ends = _regrouped(parts, known_groups)[1]
+    vocabulary = materialize(_vocabulary(parts, slices, known_groups=known_groups))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -579,8 +668,9 @@ def score(docs: DataFrame) -> DataFrame:
     n_ends = int(ends.sum())
     n_all, v_all = tokens + n_ends, known + (n_ends > 0)
     code = Code.of(_histogram(vocabulary, n_ends))
-    tables = _count(vocabulary, ends, code)
-    mixer = _tune(parts, code, tables)
+    counts = _count(vocabulary, ends, code)
+    mixer, tables = _tune(vocabulary, ends, code, counts), Tables.of(counts)
+    del counts
     stop = price(pa.array([b""] * GROUPS, pa.binary()), np.arange(GROUPS), code, tables, mixer)
     shared = spark.sparkContext.broadcast((code, tables, mixer))
     unknown, prior = np.log10(n_all + v_all + 1), known_groups[1]
@@ -600,7 +690,8 @@ def score(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, folds, groups, sizes, width, tokens, n_words, told in zip(*[batch.column(i) for i in range(8)], strict=True):
+            for ids, folds, features, sizes, width, tokens, n_words, told in zip(*[batch.column(i) for i in range(8)], strict=True):
+                groups = _fit(*_read(tokens, sizes, features), known_groups).argmax(0).astype(np.int32)
                 n_words, told = n_words.as_py(), sorted(told.as_py(), key=lambda t: t["slice"])
                 pairs, texts = _pairs(tokens, sizes, groups, n_words)
                 there = np.zeros((n_words + 1) * GROUPS, bool)
@@ -616,7 +707,7 @@ def score(docs: DataFrame) -> DataFrame:
                 n_tokens = sizes + 1
                 base = add(np.log10(count + 1.0)[place]) - n_tokens * unknown
                 known = add((count > 0)[place]).astype(np.int64)
-                mixed = add(cached(place, texts, logs)) + prior[np.asarray(groups.values)] / np.log(10)
+                mixed = add(cached(place, texts, logs)) + prior[groups] / np.log(10)
                 size = np.asarray(width.values).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [ids.values, pa.array([f == 2 for f in folds.as_py()], pa.bool_()), pa.array(n_tokens), pa.array(known), pa.array(np.full(n, n_all, np.int64)), pa.array(base), pa.array(mixed), pa.array(-mixed * np.log2(10) / np.maximum(size + 1, 1))],
@@ -625,8 +716,8 @@ def score(docs: DataFrame) -> DataFrame:
 
     sent = vocabulary.select("slice", "words", "pairs", "trained", "blocks", "places").mapInArrow(tell, "block long, slice int, logs binary, counts binary")
     back = sent.groupBy("block").agg(F.collect_list(F.struct("slice", "logs", "counts")).alias("told"))
-    joined = parts.drop("words", "turns", "lines", "kinds").join(back, "block", "left")
+    joined = parts.drop("words", "turns").join(back, "block", "left")
     nothing = F.array().cast("array<struct<slice:int,logs:binary,counts:binary>>")
-    return joined.select("ids", "folds", "groups", "n_tokens", "bytes", "tokens", "n_words", F.coalesce("told", nothing).alias("told")).mapInArrow(
+    return joined.select("ids", "folds", "features", "n_tokens", "bytes", "tokens", "n_words", F.coalesce("told", nothing).alias("told")).mapInArrow(
         run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
     )
