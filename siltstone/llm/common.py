@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -14,6 +18,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rows up to which a side may be broadcast once they are counted.
 BROADCAST_ROWS = 20_000
+#: Bytes that go to Python at once in ``small_batches``, about.
+BATCH_BYTES = 4_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,6 +43,28 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside send BATCH_BYTES or one row to Python at once: Spark's own 64 MB are held by each task, outside the heap and again in Python."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def release() -> None:
+    """Give what a worker has freed back to the system: workers live on beside the heap for all that follows."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def pack(docs: DataFrame) -> DataFrame:
     """All columns of ``docs`` in the one column ``whole``: helper columns beside it cannot clash with any, however named.
 

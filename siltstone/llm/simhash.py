@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from siltstone.llm.common import materialize, pack, small, tie_break
+from siltstone.llm.common import materialize, pack, release, small, small_batches, tie_break
 
 SEGMENTS, SEGMENT_BITS, REFERENCES = 4, 16, 8
 RADIUS = 2
@@ -279,6 +279,7 @@ def shingle_prefixes(docs: DataFrame, words: int, common: tuple[np.ndarray, np.n
                 [batch.column(0), batch.column(2), pa.array(np.array(names, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), lists, pa.array(np.array(prints, np.uint64).view(np.int64))],
                 ["doc_id", "text_hash", "set", "n", "prefix", "fp"],
             )
+            release()
 
     marked = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
     return marked.mapInArrow(run, "doc_id long, text_hash long, set long, n long, prefix array<long>, fp long")
@@ -335,6 +336,7 @@ def similar(pairs: DataFrame, docs: DataFrame, marked: DataFrame, words: int) ->
             sets = [shingle_set((t.as_py() or "").encode(), words) for t in batch.column(0)]
             names = pa.array(np.array([_set_id(g) for g in sets], np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([names, pa.array([g.tobytes() for g in sets], pa.binary())], ["set", "grams"])
+            release()
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -344,6 +346,7 @@ def similar(pairs: DataFrame, docs: DataFrame, marked: DataFrame, words: int) ->
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 good.append(9 * both >= 4 * (len(a) + len(b)))
             yield batch.select(["src", "dst"]).filter(pa.array(good, pa.bool_()))
+            release()
 
     chosen = docs.select("text", F.xxhash64("text").alias("text_hash")).join(small(texts, SMALL), "text_hash", "left_semi").select("text")
     sets = materialize(chosen.mapInArrow(spell, "set long, grams binary").dropDuplicates(["set"]))
@@ -438,8 +441,10 @@ def dedup_stage(docs: DataFrame, **how) -> DataFrame:
     told apart by the text's hash, then by their other columns; of fully alike ones one stays.
     """
     name = lambda c: F.coalesce(F.col(c).cast("long").cast("string"), F.lit("-"))
+    with small_batches(docs.sparkSession):
+        groups = similar_groups(docs, **how)
     kept = (
-        similar_groups(docs, **how)
+        groups
         .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("component")
         .agg(F.min(F.struct(name("doc_id").alias("id"), F.col("text_hash").alias("hash"))).alias("kept"))

@@ -17,18 +17,17 @@ ids and labels are not learnt from; repeated rows are scored separately; further
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from math import sqrt
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import materialize
+from siltstone.llm.common import materialize, release
 
 TRAIN_ROWS = 16_000
 #: Most words and bytes of the dictionaries; contexts and z-score from which a word counts as toxic.
@@ -43,6 +42,8 @@ LEAST_DISTANCE, CLOSE = 2, 1
 #: Prior of the rule: constant, then the weights of the four measures of a text.
 PRIOR = np.array([-4.5, 3.0, 1.0, 1.5, 0.0])
 MEASURES = 4
+#: Words that training sends at once, about: as Python objects a batch's words take many times its bytes.
+SENT = 20_000
 #: Windows whose distances a worker remembers.
 MEMO = 400_000
 
@@ -70,12 +71,12 @@ class Classifier:
             out.append(zstandard.ZstdCompressor(dict_data=table, compression_params=how).compress)
         return out
 
-    def features(self, texts: list[bytes]) -> np.ndarray:
+    def features(self, texts: Iterable[bytes]) -> np.ndarray:
         """Per text: full windows, their bytes saved, their number in a hundred, and near windows, all as log(1 + x)."""
         toxic, ordinary = self._coders()
-        memo, out = self._memo, np.zeros((len(texts), MEASURES))
+        memo, out = self._memo, []
         full = CLOSE + min((len(toxic(b" " + w + b" " + TAIL)) for w in self.words), default=0)
-        for i, text in enumerate(texts):
+        for text in texts:
             found = text.lower().split()
             hits = saved = near = 0
             for word in found:
@@ -91,9 +92,8 @@ class Classifier:
                     hits, saved = hits + 1, saved + d
                 elif d:
                     near += 1
-            if hits or near:
-                out[i] = hits, saved, 100 * hits / (len(found) + 20), near
-        return np.log1p(out)
+            out.append((hits, saved, 100 * hits / (len(found) + 20), near))
+        return np.log1p(np.array(out, float).reshape(-1, MEASURES))
 
     def scores(self, features: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.weights[0] + features @ self.weights[1:], -30, 30)))
@@ -128,6 +128,9 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (word, toxic, context) of labelled texts; the context stands for the two neighbouring words."""
     import xxhash
 
+    def rows(words: list[bytes], marks: list[int], near: list[int]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(marks, pa.int32()), pa.array(near, pa.int64())], ["word", "toxic", "context"])
+
     for batch in batches:
         words, marks, near = [], [], []
         for text, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
@@ -136,9 +139,10 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 words.append(b)
                 near.append(xxhash.xxh64_intdigest(a + b" " + c) >> 1)
             marks.extend([toxic] * len(found))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(words, pa.binary()), pa.array(marks, pa.int32()), pa.array(near, pa.int64())], ["word", "toxic", "context"]
-        )
+            if len(words) >= SENT:
+                yield rows(words, marks, near)
+                words, marks, near = [], [], []
+        yield rows(words, marks, near)
 
 
 def _pack(words: list[bytes], most: int) -> bytes:
@@ -187,8 +191,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, rows:
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = found.features([(x.as_py() or "").encode() for x in batch.column(0)])
+            values = found.features((x.as_py() or "").encode() for x in batch.column(0))
             yield pa.RecordBatch.from_arrays([batch.column(1), *[pa.array(c) for c in values.T]], ["toxic", *[f"f{i}" for i in range(MEASURES)]])
+            release()
 
     shape = ", ".join(f"f{i} double" for i in range(MEASURES))
     # At most ``rows`` rows of five numbers.
@@ -202,10 +207,12 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, rows:
 def score(docs: DataFrame, found: Classifier) -> Column:
     """The likelihood that a label says toxic, as a column of ``docs``; only the text goes through Python."""
 
-    @F.pandas_udf("double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    # Arrow's own bytes, a text at a time: a batch as pandas strings would take several times its memory.
+    @F.arrow_udf("double")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pd.Series(found.scores(found.features([(x or "").encode() for x in texts])))
+            yield pa.array(found.scores(found.features(t.as_py() or b"" for t in texts.cast(pa.binary()))))
+            release()
 
     return run(F.col("text").cast("string"))
 
