@@ -40,7 +40,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import materialize
+from siltstone.llm.common import materialize, release, small_batches
 
 BLOCK_BYTES = 5_000_000
 #: Slots of each predictor's table, as powers of two, and their places in the one array of all tables.
@@ -454,7 +454,7 @@ def blocks(docs: DataFrame, known: tuple[np.ndarray, np.ndarray]) -> DataFrame:
                 start = stop
                 if size >= BLOCK_BYTES:
                     yield _block(ids, folds, texts, known)
-                    pa.default_memory_pool().release_unused()
+                    release()
                     ids, folds, texts, size = [], [], [], 0
         if ids:
             yield _block(ids, folds, texts, known)
@@ -521,6 +521,7 @@ def _vocabulary(parts: DataFrame, slices: int, last: int = -1, known_groups: tup
                     ],
                     ["block", "slice", "words", "pairs", "trained", "learnt"],
                 )
+            release()
 
     def merge(now: int, rows: list[tuple]) -> pa.RecordBatch:
         words = pa.concat_arrays([r[1].values for r in rows])
@@ -551,6 +552,7 @@ def _vocabulary(parts: DataFrame, slices: int, last: int = -1, known_groups: tup
                 rows.append((batch.column(0)[i].as_py(), batch.column(2)[i], *[batch.column(k)[i].as_py() for k in (3, 4, 5)]))
         if rows:
             yield merge(now, rows)
+            release()
 
     sent = parts.select("block", "ids", "folds", "groups", "n_tokens", "tokens", "words", "features").mapInArrow(
         split, "block long, slice int, words array<binary>, pairs binary, trained binary, learnt binary"
@@ -601,6 +603,8 @@ def _count(vocabulary: DataFrame, ends: np.ndarray, code: Code) -> np.ndarray:
         if tables is not None:
             cut = tables.reshape(pieces, -1)
             yield pa.RecordBatch.from_arrays([pa.array(range(len(cut)), pa.int32()), pa.array([_press(c.tobytes()) for c in cut], pa.binary())], ["piece", "counts"])
+            del tables, cut
+            release()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -634,6 +638,7 @@ def _tune(vocabulary: DataFrame, ends: np.ndarray, code: Code, counts: np.ndarra
                 learner = Learner()
                 learner.learn(words.values.take(pa.array(pairs // GROUPS)), pairs % GROUPS, times, *shared.value)
                 out += learner.sums()
+            release()
         yield pa.RecordBatch.from_arrays([pa.array(range(len(out)), pa.int32()), pa.array(out)], ["at", "n"])
 
     own = Learner()
@@ -649,6 +654,12 @@ def _tune(vocabulary: DataFrame, ends: np.ndarray, code: Code, counts: np.ndarra
 
 def score(docs: DataFrame) -> DataFrame:
     """Base and mixed log10 probabilities of every row of ``docs``; rows of fold 2 of 7 are not learnt from."""
+    # Rows are blocks and slices of megabytes, which Spark would send by the dozen. The result is a few numbers a text.
+    with small_batches(docs.sparkSession):
+        return materialize(_scored(docs))
+
+
+def _scored(docs: DataFrame) -> DataFrame:
     spark: SparkSession = docs.sparkSession
     known_groups = _grouped(docs)
     parts = materialize(blocks(docs, known_groups))
@@ -687,6 +698,7 @@ def score(docs: DataFrame) -> DataFrame:
                     [blocks.values, pa.array([piece.as_py()] * len(where), pa.int32()), pa.array([logs[w].tobytes() for w in where], pa.binary()), pa.array([_press(counts[w].tobytes()) for w in where], pa.binary())],
                     ["block", "slice", "logs", "counts"],
                 )
+            release()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -713,6 +725,7 @@ def score(docs: DataFrame) -> DataFrame:
                     [ids.values, pa.array([f == 2 for f in folds.as_py()], pa.bool_()), pa.array(n_tokens), pa.array(known), pa.array(np.full(n, n_all, np.int64)), pa.array(base), pa.array(mixed), pa.array(-mixed * np.log2(10) / np.maximum(size + 1, 1))],
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"],
                 )
+            release()
 
     sent = vocabulary.select("slice", "words", "pairs", "trained", "blocks", "places").mapInArrow(tell, "block long, slice int, logs binary, counts binary")
     back = sent.groupBy("block").agg(F.collect_list(F.struct("slice", "logs", "counts")).alias("told"))

@@ -2,7 +2,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from siltstone.llm import common, simhash, toxicity
+from siltstone.llm import common, mixlm, simhash, toxicity
 
 from .conftest import DOCS, prose
 
@@ -27,7 +27,7 @@ def near_dedup(docs):
     return simhash.dedup_stage(docs, words=5)
 
 
-@pytest.mark.parametrize("module, step", [(simhash, near_dedup)])
+@pytest.mark.parametrize("module, step", [(mixlm, mixlm.score), (simhash, near_dedup)])
 def test_blocks_and_sets_are_sent_in_small_batches(spark, monkeypatch, module, step):
     """Every table that the operators write is written with small batches, and the result does not depend on them."""
     docs = spark.createDataFrame([(i, prose(i % 50, 60), "en", "s", 1) for i in range(60)], DOCS)
